@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.operators import cdc, cleaning, meta, rules, scd2
+from nightledger.operators import cdc, cleaning, meta, rules, scd2, strict
 from nightledger.operators.party import party_info
 from nightledger.plans import fixtures as fx
 from nightledger.plans.fixtures import D0, D1, R3_W, RUN_TS, T0, BankState
@@ -151,6 +151,26 @@ def _fraud_report(spark, sf):
     return rules.fraud_report(f, st.hist("terminals", 1), c, a, k, st.blacklist(), D1, RUN_TS)
 
 
+def _fraud1_strict(spark, sf):
+    st, f, c, a, k = _h1(spark, sf)
+    return strict.fraud1_strict(f, c, a, k, st.blacklist(), RUN_TS)
+
+
+def _fraud2_strict(spark, sf):
+    _, f, c, a, k = _h1(spark, sf)
+    return strict.fraud2_strict(f, c, a, k, RUN_TS)
+
+
+def _fraud3_strict(spark, sf):
+    st, f, c, a, k = _h1(spark, sf)
+    return strict.fraud3_strict(f, st.hist("terminals", 1), c, a, k, D1, RUN_TS)
+
+
+def _fraud4_strict(spark, sf):
+    _, f, c, a, k = _h1(spark, sf)
+    return strict.fraud4_strict(f, c, a, k, None, RUN_TS)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "scalar_cleaning": _scalar_cleaning,
@@ -174,6 +194,10 @@ def queries() -> dict[str, Query]:
         "fraud4_events": _fraud4_events,
         "fraud4": _fraud4,
         "fraud_report": _fraud_report,
+        "fraud1_strict": _fraud1_strict,
+        "fraud2_strict": _fraud2_strict,
+        "fraud3_strict": _fraud3_strict,
+        "fraud4_strict": _fraud4_strict,
     }
     for dim in ("terminals", "accounts", "cards", "clients"):
         q[f"scd2_{dim}"] = _scd2(dim)
