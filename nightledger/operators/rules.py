@@ -45,39 +45,48 @@ def card_span(fact: DataFrame) -> DataFrame:
                                         F.max("trans_date").alias("last_dt"))
 
 
-def _first_op_per_person(fact: DataFrame, info: DataFrame) -> DataFrame:
-    return (card_span(fact).join(info, "card_num")
+def _span(fact: DataFrame, span: DataFrame | None) -> DataFrame:
+    return card_span(fact) if span is None else span
+
+
+def _first_op_per_person(fact: DataFrame, info: DataFrame, span: DataFrame | None = None) -> DataFrame:
+    return (_span(fact, span).join(info, "card_num")
             .groupBy("passport_num", "fio", "phone")
             .agg(F.min("first_dt").alias("event_dt")))
 
 
 def fraud1_expired(fact: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                   run_ts: _dt.datetime) -> DataFrame:
-    """Earliest operation of each person whose passport expired before the run."""
+                   run_ts: _dt.datetime, span: DataFrame | None = None) -> DataFrame:
+    """Earliest operation of each person whose passport expired before the run.
+
+    ``span`` may be a maintained per-card (first_dt, last_dt) table; by
+    default it is computed from ``fact``.
+    """
     info = party_info(cards, accounts, clients, expired_before=run_ts)
-    return report_rows(_first_op_per_person(fact, info), "1", run_ts)
+    return report_rows(_first_op_per_person(fact, info, span), "1", run_ts)
 
 
 def fraud1_blacklist(fact: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                     blacklist: DataFrame, run_ts: _dt.datetime) -> DataFrame:
+                     blacklist: DataFrame, run_ts: _dt.datetime,
+                     span: DataFrame | None = None) -> DataFrame:
     """Earliest operation of each blacklisted person (one row per blacklist entry)."""
-    firsts = _first_op_per_person(fact, party_info(cards, accounts, clients))
+    firsts = _first_op_per_person(fact, party_info(cards, accounts, clients), span)
     bl = blacklist.select("passport_num")
     return report_rows(bl.join(firsts, "passport_num"), "1", run_ts)
 
 
-def fraud1(fact, cards, accounts, clients, blacklist, run_ts) -> DataFrame:
+def fraud1(fact, cards, accounts, clients, blacklist, run_ts, span=None) -> DataFrame:
     """Rule 1: expired or blacklisted passport; UNION removes duplicates."""
-    return (fraud1_expired(fact, cards, accounts, clients, run_ts)
-            .unionByName(fraud1_blacklist(fact, cards, accounts, clients, blacklist, run_ts))
+    return (fraud1_expired(fact, cards, accounts, clients, run_ts, span)
+            .unionByName(fraud1_blacklist(fact, cards, accounts, clients, blacklist, run_ts, span))
             .distinct())
 
 
 def fraud2(fact: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-           run_ts: _dt.datetime) -> DataFrame:
+           run_ts: _dt.datetime, span: DataFrame | None = None) -> DataFrame:
     """Rule 2: latest operation per (person, account validity) after the contract ended."""
     info = party_info(cards, accounts, clients, with_valid_to=True)
-    last = (card_span(fact).join(info, "card_num")
+    last = (_span(fact, span).join(info, "card_num")
             .groupBy("passport_num", "fio", "phone", "valid_to")
             .agg(F.max("last_dt").alias("event_dt"))
             .where(F.col("event_dt") > F.col("valid_to")))
@@ -130,9 +139,10 @@ def fraud4(fact, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame
                        "4", run_ts)
 
 
-def fraud_report(fact, terminals, cards, accounts, clients, blacklist, w, run_ts) -> DataFrame:
+def fraud_report(fact, terminals, cards, accounts, clients, blacklist, w, run_ts,
+                 span=None) -> DataFrame:
     """The day's report rows: rules 1-4 appended (duplicates kept)."""
-    return (fraud1(fact, cards, accounts, clients, blacklist, run_ts)
-            .unionByName(fraud2(fact, cards, accounts, clients, run_ts))
+    return (fraud1(fact, cards, accounts, clients, blacklist, run_ts, span)
+            .unionByName(fraud2(fact, cards, accounts, clients, run_ts, span))
             .unionByName(fraud3(fact, terminals, cards, accounts, clients, w, run_ts))
             .unionByName(fraud4(fact, cards, accounts, clients, w, run_ts)))

@@ -198,3 +198,38 @@ class BankState:
         """Business keys present in the day's full snapshot (delete detection input)."""
         from nightledger.operators.cdc import snapshot_keys
         return snapshot_keys(self.src(dim, day), dim)
+
+
+RUN_TS0 = _dt.datetime(2024, 1, 15, 0, 17, 0)   # day-0 run, after the first export
+
+
+def export_files(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the two daily exports derived from the test tables under ``root``.
+
+    Export 0 (business date D0): transactions dated before D1, terminals
+    version 0. Export 1 (D1): the rest, terminals version 1. Both carry the
+    blacklist. Returns the paths by name.
+    """
+    from nightledger.sources.files import write_transaction_files, write_workbooks
+    tx = stg_transactions(spark, sf_dir)
+    day = F.to_timestamp_ntz(F.substring("trans_date", 1, 10))
+    write_transaction_files(tx.where(day < ts_lit(D1)), f"{root}/tx/0")
+    write_transaction_files(tx.where(day >= ts_lit(D1)), f"{root}/tx/1")
+    for v, d in ((0, "01012024"), (1, "15012024")):
+        ter = src_terminals(spark, sf_dir, v).withColumn("_f", F.lit(f"terminals_{d}.xlsx"))
+        write_workbooks(ter, f"{root}/ter{v}", "_f").collect()
+        bl = stg_blacklist(spark, sf_dir).withColumn("_f", F.lit(f"passport_blacklist_{d}.xlsx"))
+        write_workbooks(bl, f"{root}/bl{v}", "_f").collect()
+    return {"tx": f"{root}/tx", "tx0": f"{root}/tx/0", "tx1": f"{root}/tx/1",
+            "ter0": f"{root}/ter0/terminals_01012024.xlsx",
+            "ter1": f"{root}/ter1/terminals_15012024.xlsx",
+            "ter": f"{root}/ter*/terminals_*.xlsx",
+            "bl0": f"{root}/bl0/passport_blacklist_01012024.xlsx",
+            "bl1": f"{root}/bl1/passport_blacklist_15012024.xlsx"}
+
+
+def day_inputs(spark: SparkSession, sf_dir: str, paths: dict[str, str], v: int):
+    from nightledger.plans.pipeline import DayInputs
+    return DayInputs(transactions=paths[f"tx{v}"], terminals=paths[f"ter{v}"],
+                     blacklist=paths[f"bl{v}"], accounts=src_accounts(spark, sf_dir, v),
+                     cards=src_cards(spark, sf_dir, v), clients=src_clients(spark, sf_dir, v))

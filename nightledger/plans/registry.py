@@ -15,6 +15,7 @@ from nightledger.operators.party import party_info
 from nightledger.plans import fixtures as fx
 from nightledger.plans.fixtures import D0, D1, R3_W, RUN_TS, T0, BankState
 from nightledger.schemas import CLIENTS_HIST, TERMINALS_HIST
+from nightledger.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,8 +172,64 @@ def _fraud4_strict(spark, sf):
     return strict.fraud4_strict(f, c, a, k, None, RUN_TS)
 
 
+def _exports(spark, sf):
+    from nightledger.session import scratch
+    return fx.export_files(spark, sf, scratch(spark, "exports"))
+
+
+def _src_transactions(spark, sf):
+    return files.read_transactions(spark, _exports(spark, sf)["tx"])
+
+
+def _src_terminals(spark, sf):
+    return files.read_terminals(spark, _exports(spark, sf)["ter"], with_date=True)
+
+
+def _src_blacklist(spark, sf):
+    return files.read_blacklist(spark, _exports(spark, sf)["bl1"])
+
+
+def _file_business_date(spark, sf):
+    from pyspark.sql import functions as F
+    tx = files.read_transactions(spark, _exports(spark, sf)["tx"], with_date=True)
+    return tx.groupBy("business_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _ingest_available_now(spark, sf):
+    from nightledger.session import scratch
+    from nightledger.streaming.ingest import ingest_available_now
+    paths = _exports(spark, sf)
+    s = scratch(spark, "ingest")
+    return ingest_available_now(spark, paths["tx"], f"{s}/sink", f"{s}/checkpoint",
+                                f"{s}/archive")
+
+
+def _pipeline_day(spark, sf):
+    from nightledger.plans.pipeline import run_day
+    from nightledger.plans.store import Warehouse
+    from nightledger.session import scratch
+    paths = _exports(spark, sf)
+    wh = Warehouse(spark, scratch(spark, "warehouse"))
+    return run_day(wh, fx.day_inputs(spark, sf, paths, 0), fx.RUN_TS0)
+
+
+def _pipeline_replay(spark, sf):
+    from nightledger.plans.pipeline import replay
+    from nightledger.plans.store import Warehouse
+    from nightledger.session import scratch
+    paths = _exports(spark, sf)
+    wh = Warehouse(spark, scratch(spark, "warehouse"))
+    days = [(fx.day_inputs(spark, sf, paths, 1), RUN_TS), (fx.day_inputs(spark, sf, paths, 0), fx.RUN_TS0)]
+    return replay(wh, days)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
+        "src_transactions": _src_transactions,
+        "src_terminals": _src_terminals,
+        "src_blacklist": _src_blacklist,
+        "file_business_date": _file_business_date,
+        "ingest_available_now": _ingest_available_now,
         "scalar_cleaning": _scalar_cleaning,
         "fact_transactions": _fact_transactions,
         "fact_blacklist": _fact_blacklist,
@@ -198,6 +255,8 @@ def queries() -> dict[str, Query]:
         "fraud2_strict": _fraud2_strict,
         "fraud3_strict": _fraud3_strict,
         "fraud4_strict": _fraud4_strict,
+        "pipeline_day": _pipeline_day,
+        "pipeline_replay": _pipeline_replay,
     }
     for dim in ("terminals", "accounts", "cards", "clients"):
         q[f"scd2_{dim}"] = _scd2(dim)

@@ -52,3 +52,26 @@ def scratch(spark: SparkSession, tag: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (``addPyFile`` of a zip, once per context)."""
+    import zipfile
+    sc = spark.sparkContext
+    ident = f"{id(sc._jsc)}"
+    if ident in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="nightledger-py-", dir="/tmp"), "nightledger.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(ident)
