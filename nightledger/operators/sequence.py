@@ -43,13 +43,20 @@ def _micros(td: _dt.timedelta) -> int:
 
 def trans_order(time: str = "trans_date", id_col: str = "trans_id",
                 tie_breakers: list[str] | tuple[str, ...] = ()) -> list[Column]:
-    """Total order used for every LAG: time (NULLs last), numeric id, id, extra keys."""
-    return ([F.col(time).asc_nulls_last(),
-             F.expr(f"try_cast({id_col} AS BIGINT)").asc_nulls_last(),
+    """Total order used for every LAG: time (NULLs last), numeric id, id, extra keys.
+
+    Expects the numeric id materialized as column ``_oid`` (see :func:`with_order_id`),
+    so every window using this order shares one sort.
+    """
+    return ([F.col(time).asc_nulls_last(), F.col("_oid").asc_nulls_last(),
              F.col(id_col).asc_nulls_last()]
             + [F.col(c).asc_nulls_last() for c in tie_breakers])
 
 
+def with_order_id(df: DataFrame, id_col: str = "trans_id") -> DataFrame:
+    return df.withColumn("_oid", F.expr(f"try_cast({id_col} AS BIGINT)"))
+
+
 def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.timedelta,
            key: str = "card_num", time: str = "trans_date", id_col: str = "trans_id",
            tie_breakers: list[str] | tuple[str, ...] = (),
@@ -58,14 +65,15 @@ def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.t
 
     ``bucket=None`` uses a plain window over the whole card (exact, but one
     task per card); any bucket at least as wide as ``horizon`` gives the
-    same rows.
+    same rows. All lags share one window specification, so the plan has one
+    exchange, one sort and one Window node.
     """
     h = to_timedelta(horizon)
     t = F.col(time)
-    order = trans_order(time, id_col, tie_breakers)
     offsets = sorted({k for _, k in lags.values()})
+    x = with_order_id(df, id_col)
+    order = trans_order(time, id_col, tie_breakers)
     if bucket is None:
-        x = df
         w = Window.partitionBy(key).orderBy(*order)
     else:
         b = to_timedelta(bucket)
@@ -77,16 +85,17 @@ def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.t
         last = F.floor((tm + F.lit(hm)) / F.lit(bm))
         # a row belongs to its own bucket and is context for the next one when
         # it lies within the horizon of that bucket's start (NULL time: own only)
-        x = (df.withColumn("_own", own)
-               .withColumn("_b", F.explode_outer(F.sequence(F.col("_own"), last))))
+        x = (x.withColumn("_own", own)
+              .withColumn("_b", F.explode_outer(F.sequence(F.col("_own"), last))))
         w = Window.partitionBy(key, "_b").orderBy(*order)
-    for k in offsets:
-        x = x.withColumn(f"_lt{k}", F.lag(t, k).over(w))
-    for name, (col, k) in lags.items():
-        x = x.withColumn(name, F.lag(F.col(col), k).over(w))
+    base = [F.col(c) for c in x.columns]
+    x = x.select(*base,
+                 *[F.lag(t, k).over(w).alias(f"_lt{k}") for k in offsets],
+                 *[F.lag(F.col(col), k).over(w).alias(name) for name, (col, k) in lags.items()])
     if bucket is not None:
         x = x.where(F.col("_b").eqNullSafe(F.col("_own"))).drop("_b", "_own")
-    for name, (col, k) in lags.items():
-        fresh = F.col(f"_lt{k}") >= t - F.expr(f"INTERVAL {int(h.total_seconds())} SECONDS")
-        x = x.withColumn(name, F.when(fresh, F.col(name)))
-    return x.drop(*[f"_lt{k}" for k in offsets])
+    floor = t - F.expr(f"INTERVAL {int(h.total_seconds())} SECONDS")
+    masked = {name: F.when(F.col(f"_lt{k}") >= floor, F.col(name)).alias(name)
+              for name, (_, k) in lags.items()}
+    keep = [c for c in x.columns if c not in masked and not c.startswith("_lt") and c != "_oid"]
+    return x.select(*[F.col(c) for c in keep], *masked.values())

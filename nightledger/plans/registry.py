@@ -20,8 +20,14 @@ from nightledger.sources import files
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _h1(spark: SparkSession, sf_dir: str):
+def _state(spark: SparkSession, sf_dir: str) -> BankState:
     st = BankState(spark, sf_dir)
+    st.stored()
+    return st
+
+
+def _h1(spark: SparkSession, sf_dir: str):
+    st = _state(spark, sf_dir)
     return st, st.fact(), st.hist("cards", 1), st.hist("accounts", 1), st.hist("clients", 1)
 
 
@@ -56,40 +62,40 @@ def _fact_blacklist(spark, sf):
 
 
 def _cdc(dim: str) -> Query:
-    return lambda spark, sf: cdc.cdc_extract(fx.BankState(spark, sf).src(dim, 1), dim, T0)
+    return lambda spark, sf: cdc.cdc_extract(_state(spark, sf).src(dim, 1), dim, T0)
 
 
 def _terminal_diff(spark, sf):
-    st = BankState(spark, sf)
+    st = _state(spark, sf)
     return cdc.snapshot_diff(st.src("terminals", 1), st.hist("terminals", 0))
 
 
 def _watermark_get(spark, sf):
-    return meta.watermark_get(_meta_day1(spark, BankState(spark, sf)), CLIENTS_HIST)
+    return meta.watermark_get(_meta_day1(spark, _state(spark, sf)), CLIENTS_HIST)
 
 
 def _watermark_terminals(spark, sf):
-    return meta.watermark_set(_meta_day0(spark, BankState(spark, sf)), TERMINALS_HIST, D1)
+    return meta.watermark_set(_meta_day0(spark, _state(spark, sf)), TERMINALS_HIST, D1)
 
 
 def _watermark_advance(spark, sf):
-    return _meta_day1(spark, BankState(spark, sf))
+    return _meta_day1(spark, _state(spark, sf))
 
 
 def _scd2(dim: str) -> Query:
-    return lambda spark, sf: BankState(spark, sf).hist(dim, 1)
+    return lambda spark, sf: _state(spark, sf).step(dim, 1)
 
 
 def _tombstone(dim: str) -> Query:
     def q(spark, sf):
-        st = BankState(spark, sf)
+        st = _state(spark, sf)
         return scd2.tombstone(st.hist(dim, 1), st.keys(dim, 1), dim, _tomb_ts(dim))
     return q
 
 
 def _tombstone_literal(dim: str) -> Query:
     def q(spark, sf):
-        st = BankState(spark, sf)
+        st = _state(spark, sf)
         return scd2.tombstone_literal(st.hist(dim, 1), st.keys(dim, 1), dim, _tomb_ts(dim))
     return q
 
@@ -104,7 +110,7 @@ def _party_info(spark, sf):
 
 
 def _trans_terminal_city(spark, sf):
-    st = BankState(spark, sf)
+    st = _state(spark, sf)
     return rules.trans_terminal_city(st.fact(), st.hist("terminals", 1))
 
 
@@ -129,7 +135,7 @@ def _fraud2(spark, sf):
 
 
 def _fraud3_events(spark, sf):
-    st = BankState(spark, sf)
+    st = _state(spark, sf)
     return rules.fraud3_events(st.fact(), st.hist("terminals", 1))
 
 
@@ -139,7 +145,7 @@ def _fraud3(spark, sf):
 
 
 def _fraud4_events(spark, sf):
-    return rules.fraud4_events(BankState(spark, sf).fact())
+    return rules.fraud4_events(_state(spark, sf).fact())
 
 
 def _fraud4(spark, sf):
