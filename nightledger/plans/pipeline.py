@@ -52,8 +52,12 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
             run: int | None = None) -> DataFrame:
     """Process one export; returns the report rows this run appended."""
     spark = wh.spark
-    prev = wh.committed_run()
-    run = (prev or 0) + 1 if run is None else run
+    if run is None:
+        prev = wh.committed_run()
+        run = (prev or 0) + 1
+    else:
+        # a rerun of run N starts again from run N-1 and rewrites only run N's folders
+        prev = run - 1 if run > 1 else None
     day = file_date(inp.terminals)
 
     # control table: tiny (one row per history table), read once on the driver
@@ -63,7 +67,7 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
 
     src = {"accounts": inp.accounts, "cards": inp.cards, "clients": inp.clients,
            "terminals": read_terminals(spark, inp.terminals)}
-    hist = {d: wh.read(f"dim_{d}_hist", prev) for d in DIMS}
+    hist = {d: wh.before(f"dim_{d}_hist", prev) for d in DIMS}
     stg = {d: cdc.cdc_extract(src[d], d, marks[DIMENSIONS[d]["meta"]])
            for d in ("accounts", "cards", "clients")}
     stg["terminals"] = cdc.snapshot_diff(src["terminals"], hist["terminals"])
@@ -86,7 +90,7 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
 
     # per-card first/last operation, maintained incrementally for rules 1 and 2
     today = spark.read.parquet(f"{wh.root}/fact_transactions/load_date={day:%Y-%m-%d}")
-    span = (wh.read("card_span", prev).unionByName(rules.card_span(today))
+    span = (wh.before("card_span", prev).unionByName(rules.card_span(today))
             .groupBy("card_num").agg(F.min("first_dt").alias("first_dt"),
                                      F.max("last_dt").alias("last_dt")))
     wh.write_version(span, "card_span", run)

@@ -75,6 +75,13 @@ class Warehouse:
             return self.spark.createDataFrame([], VERSIONED[table])
         return self.spark.read.schema(VERSIONED[table]).parquet(f"{self.root}/{table}/run={run:06d}")
 
+    def empty(self, table: str) -> DataFrame:
+        return self.spark.createDataFrame([], VERSIONED[table])
+
+    def before(self, table: str, run: int | None) -> DataFrame:
+        """State as of run ``run`` exactly; empty when there is no earlier run."""
+        return self.empty(table) if run is None else self.read(table, run)
+
     def write_version(self, df: DataFrame, table: str, run: int) -> None:
         cols = [f.name for f in VERSIONED[table].fields]
         df.select(*cols).write.mode("overwrite").parquet(f"{self.root}/{table}/run={run:06d}")
