@@ -48,6 +48,14 @@ def file_date(path: str, stem: str = TERMINALS_STEM) -> _dt.datetime:
     return _dt.datetime(y, mo, d)
 
 
+def _run_all(jobs) -> None:
+    """Run independent write jobs concurrently; re-raise the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
             run: int | None = None) -> DataFrame:
     """Process one export; returns the report rows this run appended."""
@@ -72,21 +80,23 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
            for d in ("accounts", "cards", "clients")}
     stg["terminals"] = cdc.snapshot_diff(src["terminals"], hist["terminals"])
 
-    # facts: today's transactions partition (rerun-safe), blacklist full refresh
+    # independent outputs of the run go out as concurrent Spark jobs:
+    # today's transactions partition (rerun-safe), the blacklist full refresh,
+    # each history table after SCD2 + delete detection, and the control table
     fact_today = cleaning.clean_transactions(read_transactions(spark, inp.transactions))
-    wh.write_partition(fact_today, "fact_transactions", day.strftime("%Y-%m-%d"))
-    wh.write_version(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)),
-                     "fact_blacklist", run)
-
-    # history: SCD2 then delete detection, one new version per table
+    writes = [
+        lambda: wh.write_partition(fact_today, "fact_transactions", day.strftime("%Y-%m-%d")),
+        lambda: wh.write_version(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)),
+                                 "fact_blacklist", run),
+    ]
     for d in DIMS:
         h = scd2.scd2_apply(hist[d], stg[d], d, eff_from=day if d == "terminals" else None)
         h = scd2.tombstone(h, cdc.snapshot_keys(src[d], d), d, day if d == "terminals" else run_ts)
-        wh.write_version(h, f"dim_{d}_hist", run)
-
+        writes.append(lambda h=h, d=d: wh.write_version(h, f"dim_{d}_hist", run))
     for d in ("accounts", "cards", "clients"):
         m = meta.watermark_advance(m, stg[d], d)
-    wh.write_version(m, "meta_loading", run)
+    writes.append(lambda m=m: wh.write_version(m, "meta_loading", run))
+    _run_all(writes)
 
     # per-card first/last operation, maintained incrementally for rules 1 and 2
     today = spark.read.parquet(f"{wh.root}/fact_transactions/load_date={day:%Y-%m-%d}")

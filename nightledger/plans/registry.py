@@ -178,9 +178,16 @@ def _fraud4_strict(spark, sf):
     return strict.fraud4_strict(f, c, a, k, None, RUN_TS)
 
 
+_EXPORTS: dict[tuple[int, str], dict[str, str]] = {}
+
+
 def _exports(spark, sf):
+    """Export files derived from the test tables, written once per session (upstream input)."""
     from nightledger.session import scratch
-    return fx.export_files(spark, sf, scratch(spark, "exports"))
+    key = (id(spark.sparkContext._jsc), sf)
+    if key not in _EXPORTS:
+        _EXPORTS[key] = fx.export_files(spark, sf, scratch(spark, "exports"))
+    return _EXPORTS[key]
 
 
 def _src_transactions(spark, sf):
@@ -204,7 +211,8 @@ def _file_business_date(spark, sf):
 def _ingest_available_now(spark, sf):
     from nightledger.session import scratch
     from nightledger.streaming.ingest import ingest_available_now
-    paths = _exports(spark, sf)
+    # its own copy: cleanSource moves files that a committed batch has read
+    paths = fx.export_files(spark, sf, scratch(spark, "exports-stream"))
     s = scratch(spark, "ingest")
     return ingest_available_now(spark, paths["tx"], f"{s}/sink", f"{s}/checkpoint",
                                 f"{s}/archive")
