@@ -23,7 +23,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 # horizon strings accepted by the rules -> timedelta
 _UNITS = {"SECOND": "seconds", "SECONDS": "seconds", "MINUTE": "minutes", "MINUTES": "minutes",
@@ -41,6 +40,18 @@ def _micros(td: _dt.timedelta) -> int:
     return (td.days * 86400 + td.seconds) * 1_000_000 + td.microseconds
 
 
+def _wall_micros(t: Column) -> Column:
+    """Microseconds since 1970-01-01 of a zone-free timestamp, from its date and clock fields.
+
+    Built from calendar fields so the session time zone (and its DST jumps)
+    can never bend the bucket grid.
+    """
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    clock = (F.hour(t) * 3600 + F.minute(t) * 60).cast("long") * 1_000_000
+    secs = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + clock + secs
+
+
 def trans_order(time: str = "trans_date", id_col: str = "trans_id",
                 tie_breakers: list[str] | tuple[str, ...] = ()) -> list[Column]:
     """Total order used for every LAG: time (NULLs last), numeric id, id, extra keys.
@@ -80,7 +91,7 @@ def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.t
         if b < h:
             raise ValueError("bucket must be at least as wide as the horizon")
         bm, hm = _micros(b), _micros(h)
-        tm = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {time})")
+        tm = _wall_micros(t)
         own = F.floor(tm / F.lit(bm))
         last = F.floor((tm + F.lit(hm)) / F.lit(bm))
         # a row belongs to its own bucket and is context for the next one when

@@ -62,3 +62,21 @@ def test_bucketed_lag_equals_plain_window(spark, ops):
     c = sequence.lagged(df, lags, "1 HOUR", bucket="2 HOURS").collect()
     key = lambda r: r.trans_id
     assert sorted(a, key=key) == sorted(b, key=key) == sorted(c, key=key)
+
+
+def test_bucketed_lag_ignores_session_zone(spark):
+    """A DST change in the session zone must not move rows across buckets."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2024, 3, 10, 1, 30, 0)   # clocks jump 02:00 -> 03:00 in that zone
+        rows = [(str(i), base + dt.timedelta(minutes=25 * i), "c1", "x", Decimal(1), "R", "T1")
+                for i in range(8)]
+        df = spark.createDataFrame(rows, S.FACT_TRANSACTIONS)
+        lags = {"p1": ("trans_date", 1)}
+        a = sorted(sequence.lagged(df, lags, "1 HOUR", bucket="1 HOUR").collect())
+        b = sorted(sequence.lagged(df, lags, "1 HOUR", bucket=None).collect())
+        assert a == b
+        assert sum(r.p1 is not None for r in a) == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
