@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nightledger.schemas import STG_TRANSACTIONS
 from nightledger.sources.files import TRANSACTIONS_STEM, business_date
@@ -38,4 +39,6 @@ def ingest_available_now(spark: SparkSession, src_dir: str, sink_dir: str, check
         raise TimeoutError("ingest did not finish")
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.schema(STG_TRANSACTIONS.add("business_date", "timestamp_ntz")).parquet(sink_dir)
+    sink_schema = T.StructType(list(STG_TRANSACTIONS.fields)
+                               + [T.StructField("business_date", T.TimestampNTZType())])
+    return spark.read.schema(sink_schema).parquet(sink_dir)
