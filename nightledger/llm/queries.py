@@ -2,16 +2,51 @@
 
 from __future__ import annotations
 
-from nightledger.llm.common import table
-from nightledger.llm.lsh_forest import near_duplicates
+from pyspark.sql import functions as F
+
+from nightledger.llm import language_crf, lsh_forest, mixing, pii_crf, piece_bpe
+from nightledger.llm.common import held_out, table
+
+LANGUAGE_FOLD = (4, 2)   # crc32 of the id, modulus and the remainder that is not learned from
+
+
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_source_mixing(spark, sf_dir):
+    return mixing.assign(table(spark, sf_dir, "documents"))
+
+
+def op3_pii_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii_crf.digests(pii_crf.scan(docs, pii_crf.fit(docs)))
+
+
+def op7_sentencepiece(spark, sf_dir):
+    return piece_bpe.digests(piece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+def language_labels(docs, learn_from):
+    """Predictions for ``docs`` with weights from the rows of ``learn_from`` outside the held-out fold."""
+    model = language_crf.fit(learn_from.where(~held_out("doc_id", *LANGUAGE_FOLD)))
+    return language_crf.label(docs, model)
+
+
+def op8_language_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_labels(docs, docs).withColumn("held_out", held_out("doc_id", *LANGUAGE_FOLD)).select(
+        "doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
 
 
 def op9_minhash_forest(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
 def queries():
-    return {"op9_minhash_forest": op9_minhash_forest}
+    ours = (op1_source_mixing, op3_pii_crf, op7_sentencepiece, op8_language_crf, op9_minhash_forest)
+    return {f.__name__: f for f in ours}
 
 
 def oracle_sql():
