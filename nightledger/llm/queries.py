@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from nightledger.llm import language_crf, lsh_forest, mixing, pii_crf, piece_bpe
+from nightledger.llm import language_crf, lsh_forest, mixing, pii_crf, piece_bpe, quality_cascade, secret_scan
 from nightledger.llm.common import held_out, table
 
 LANGUAGE_FOLD = (4, 2)   # crc32 of the id, modulus and the remainder that is not learned from
@@ -19,6 +17,10 @@ def op1_source_mixing(spark, sf_dir):
     return mixing.assign(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_pii_crf(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii_crf.digests(pii_crf.scan(docs, pii_crf.fit(docs)))
@@ -44,8 +46,13 @@ def op9_minhash_forest(spark, sf_dir):
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op10_quality_cascade(spark, sf_dir):
+    return quality_cascade.judged(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    ours = (op1_source_mixing, op3_pii_crf, op7_sentencepiece, op8_language_crf, op9_minhash_forest)
+    ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op7_sentencepiece, op8_language_crf, op9_minhash_forest,
+            op10_quality_cascade)
     return {f.__name__: f for f in ours}
 
 
