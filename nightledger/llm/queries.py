@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from nightledger.llm import language_crf, lsh_forest, mixing, pii_crf, piece_bpe, quality_cascade, secret_scan
+from pyspark.sql import functions as F
+
+from nightledger.llm import (kmeans_tree, language_crf, lsh_forest, mixing, pii_crf, piece_bpe, quality_cascade, secret_scan,
+                             toxicity)
 from nightledger.llm.common import held_out, table
 
+TOXIC_FOLD, TOXIC = (3, 1), 0.7
 LANGUAGE_FOLD = (4, 2)   # crc32 of the id, modulus and the remainder that is not learned from
 
 
@@ -26,6 +30,17 @@ def op3_pii_crf(spark, sf_dir):
     return pii_crf.digests(pii_crf.scan(docs, pii_crf.fit(docs)))
 
 
+def op5_toxicity(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(~held_out("doc_id", *TOXIC_FOLD)))
+    return toxicity.score(docs, model).select("doc_id", held_out("doc_id", *TOXIC_FOLD).alias("held_out"), "score",
+                                              (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op6_kmeans_tree(spark, sf_dir):
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 def op7_sentencepiece(spark, sf_dir):
     return piece_bpe.digests(piece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -51,8 +66,8 @@ def op10_quality_cascade(spark, sf_dir):
 
 
 def queries():
-    ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op7_sentencepiece, op8_language_crf, op9_minhash_forest,
-            op10_quality_cascade)
+    ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op5_toxicity, op6_kmeans_tree, op7_sentencepiece, op8_language_crf,
+            op9_minhash_forest, op10_quality_cascade)
     return {f.__name__: f for f in ours}
 
 
