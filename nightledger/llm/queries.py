@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nightledger.llm import (kmeans_tree, language_crf, lsh_forest, mixing, pii_crf, piece_bpe, quality_cascade, secret_scan,
-                             toxicity)
+from nightledger.llm import (kmeans_tree, language_crf, lsh_forest, mixing, paragraph_dedup, pii_crf, piece_bpe, quality_cascade,
+                             secret_scan, toxicity)
 from nightledger.llm.common import held_out, table
 
 TOXIC_FOLD, TOXIC = (3, 1), 0.7
@@ -30,6 +30,10 @@ def op3_pii_crf(spark, sf_dir):
     return pii_crf.digests(pii_crf.scan(docs, pii_crf.fit(docs)))
 
 
+def op4_paragraph_dedup(spark, sf_dir):
+    return paragraph_dedup.digests(paragraph_dedup.repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark, sf_dir):
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels.where(~held_out("doc_id", *TOXIC_FOLD)))
@@ -66,8 +70,8 @@ def op10_quality_cascade(spark, sf_dir):
 
 
 def queries():
-    ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op5_toxicity, op6_kmeans_tree, op7_sentencepiece, op8_language_crf,
-            op9_minhash_forest, op10_quality_cascade)
+    ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op4_paragraph_dedup, op5_toxicity, op6_kmeans_tree,
+            op7_sentencepiece, op8_language_crf, op9_minhash_forest, op10_quality_cascade)
     return {f.__name__: f for f in ours}
 
 
