@@ -102,7 +102,7 @@ def features(text: Column) -> dict[str, Column]:
         "n_lines": F.size(lines(t)).cast("long"),
         "n_dup_lines": let(lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_capitals": (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long"),
-        "n_repeat_words": let(words(t), repeated_words),
+        "n_repeat_words": let(words(t), lambda w: repeated_words(w)),  # a second parameter would be the index
     }
 
 
