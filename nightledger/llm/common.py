@@ -34,6 +34,17 @@ def held_out(doc_id: str, mod: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == fold, F.lit(False))
 
 
+def bounded_sample(rows: DataFrame, key: list[str], most: int, seed: int) -> DataFrame:
+    """About ``most`` rows of all, never above twice that: those with the least seeded hashes of ``key``.
+
+    The threshold follows from the count, so each partition hands over its
+    share of the sample and not ``most`` rows of its own.
+    """
+    n = rows.count()
+    place = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000_000))
+    return rows.where(place < int(1_000_000_000 * min(1.0, most / max(n, 1)))).limit(2 * most)
+
+
 class WordHashes(dict):
     """Word bytes -> 64-bit hash; entries beyond ``limit`` are forgotten, not wrong."""
 
