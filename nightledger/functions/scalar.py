@@ -33,24 +33,27 @@ def ts_lit(value: _dt.datetime | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    """Empty text is NULL in the source database; make it so at ingest."""
-    c = _c(c)
-    return F.when(c == "", F.lit(None).cast("string")).otherwise(c)
+    """Empty text is NULL in the source database; so is text of blanks once it is trimmed."""
+    return F.nullif(_c(c), F.lit(""))
 
 
 def strip_blanks(c: Column | str) -> Column:
-    """Remove every blank (card numbers arrive as '4000 0000 ...')."""
-    return F.replace(_c(c), F.lit(" "), F.lit(""))
+    """Remove every blank (card numbers arrive as '4000 0000 ...'); NULL if nothing is left."""
+    return blank_to_null(F.replace(_c(c), F.lit(" "), F.lit("")))
 
 
 def decimal_comma(c: Column | str) -> Column:
-    """'1234,565' -> 1234.57 as decimal(30,2); bad text raises under ANSI."""
-    return F.trim(F.replace(_c(c), F.lit(","), F.lit("."))).cast("decimal(30,2)")
+    """'1234,565' -> 1234.57 as decimal(30,2); blank is NULL, bad text is NULL too (see ``rejects``)."""
+    return blank_to_null(F.trim(F.replace(_c(c), F.lit(","), F.lit(".")))).try_cast("decimal(30,2)")
 
 
 def parse_dt(c: Column | str) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' or a bare 'yyyy-MM-dd' -> timestamp_ntz."""
-    return F.to_timestamp_ntz(_c(c), F.lit(DT_PATTERN))
+    """'yyyy-MM-dd HH:mm:ss' or a bare 'yyyy-MM-dd' -> timestamp_ntz; blank and bad text are NULL."""
+    text = F.nullif(F.trim(_c(c)), F.lit(""))
+    # two whole forms and no others, so that a bad text is NULL and never raises
+    good = text.rlike(r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])( ([01]\d|2[0-3]):[0-5]\d:[0-5]\d)?$")
+    real = F.when(good, F.substring(text, 1, 10)).try_cast("date").isNotNull()
+    return F.to_timestamp_ntz(F.when(good & real, text), F.lit(DT_PATTERN))
 
 
 def parse_ddmmyyyy(c: Column | str) -> Column:

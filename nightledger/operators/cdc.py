@@ -26,13 +26,14 @@ def cdc_extract(src: DataFrame, dim: str, w: _dt.datetime | Column) -> DataFrame
     """Rows changed after the watermark, in staging layout."""
     src = src.where(changed_since(w))
     if dim == "accounts":
-        return src.select(F.col("account").alias("account_num"), "valid_to", "client",
+        # fixed-width keys arrive padded with blanks
+        return src.select(F.rtrim("account").alias("account_num"), "valid_to", F.rtrim("client").alias("client"),
                           "create_dt", "update_dt")
     if dim == "cards":
-        return src.select(strip_blanks("card_num").alias("card_num"), "account",
+        return src.select(strip_blanks("card_num").alias("card_num"), F.rtrim("account").alias("account"),
                           "create_dt", "update_dt")
     if dim == "clients":
-        return src.select("client_id", "last_name", "first_name", "patronymic", "date_of_birth",
+        return src.select(F.rtrim("client_id").alias("client_id"), "last_name", "first_name", "patronymic", "date_of_birth",
                           "passport_num", "passport_valid_to", "phone", "create_dt", "update_dt")
     raise ValueError(f"no change capture for {dim}")
 
@@ -59,6 +60,6 @@ def snapshot_diff(snap: DataFrame, hist: DataFrame, null_safe: bool = False,
 
 def snapshot_keys(src: DataFrame, dim: str) -> DataFrame:
     """Business keys present in today's full source snapshot, as ``id``."""
-    key = {"terminals": F.col("terminal_id"), "accounts": F.col("account"),
-           "cards": strip_blanks("card_num"), "clients": F.col("client_id")}[dim]
+    key = {"terminals": F.col("terminal_id"), "accounts": F.rtrim("account"),
+           "cards": strip_blanks("card_num"), "clients": F.rtrim("client_id")}[dim]
     return src.select(key.alias("id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions.scalar import decimal_comma, parse_dt, strip_blanks
@@ -21,6 +21,21 @@ def clean_transactions(stg: DataFrame) -> DataFrame:
     )
 
 
+def _bad(text: str, value) -> Column:
+    """The input has text that is not blank, and no value came of it."""
+    return (F.trim(F.coalesce(F.col(text), F.lit(""))) != "") & value.isNull()
+
+
+def rejects(stg: DataFrame) -> DataFrame:
+    """Transactions whose amount or time is neither blank nor readable, with the reason.
+
+    They reach the fact with NULL there; this table says what was lost.
+    """
+    why = F.concat_ws(", ", F.when(_bad("trans_date", parse_dt("trans_date")), "trans_date"),
+                      F.when(_bad("amt", decimal_comma("amt")), "amt"))
+    return stg.withColumn("reason", why).where(F.col("reason") != "")
+
+
 def clean_blacklist(stg: DataFrame) -> DataFrame:
     """Blacklist rows: passport and the date it was listed."""
     return stg.select(F.col("passport_num"), parse_dt("report_dt").alias("entry_dt"))

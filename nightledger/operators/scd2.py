@@ -30,7 +30,8 @@ def _ts(v: _dt.datetime | Column) -> Column:
 
 
 def _is_open() -> Column:
-    return F.col("effective_to") == ts_lit(MAXD)
+    """The open marker; a version without an end time is not open, and is kept."""
+    return F.coalesce(F.col("effective_to") == ts_lit(MAXD), F.lit(False))
 
 
 def empty_history(spark: SparkSession, dim: str) -> DataFrame:
@@ -59,18 +60,12 @@ def scd2_close(hist: DataFrame, new_rows: DataFrame, dim: str) -> DataFrame:
     """Close open rows of re-staged keys: ``effective_to = new_from - 1s``.
 
     Only open rows with ``effective_from < new_from`` close, so a late or
-    equal change time leaves two open rows, as in the source system. A key
-    staged twice in one run is an error (the source's MERGE rejects it too);
-    it is raised inside the plan, with no extra job.
+    equal change time leaves two open rows, as in the source system. Keys must
+    be staged once (``staged_once``).
     """
     key = DIMENSIONS[dim]["key"]
     cols = hist.columns
-    times = (new_rows.groupBy(key)
-             .agg(F.max("effective_from").alias("_t"), F.count(F.lit(1)).alias("_n"))
-             .select(key, F.when(F.col("_n") > 1,
-                                 F.raise_error(F.concat(F.lit(f"{dim}: key staged twice: "),
-                                                        F.col(key))))
-                      .otherwise(F.col("_t")).alias("_t")))
+    times = new_rows.groupBy(key).agg(F.max("effective_from").alias("_t"))
     open_rows = hist.where(_is_open()).join(times, key, "left")
     close = F.col("_t").isNotNull() & (F.col("effective_from") < F.col("_t"))
     reopened = open_rows.withColumn(
@@ -78,6 +73,19 @@ def scd2_close(hist: DataFrame, new_rows: DataFrame, dim: str) -> DataFrame:
     return hist.where(~_is_open()).unionByName(reopened.select(*cols))
 
 
+def staged_once(stg: DataFrame, dim: str) -> DataFrame:
+    """``stg`` itself; raises if a key occurs twice, which the source's MERGE rejects too.
+
+    One job over the staged keys, before anything is written, so that the
+    check depends neither on the history nor on the plan.
+    """
+    key = DIMENSIONS[dim]["key"]
+    twice = stg.groupBy(key).count().where("count > 1").select(key).take(3)
+    if twice:
+        raise ValueError(f"{dim}: key staged twice: {', '.join(str(r[0]) for r in twice)}")
+    return stg
+
+
 def scd2_apply(hist: DataFrame, stg: DataFrame, dim: str,
                eff_from: _dt.datetime | Column | None = None) -> DataFrame:
     """Insert new versions, then close the superseded ones (insert-then-merge)."""

@@ -8,7 +8,7 @@ twin of every expression lives in :mod:`nightledger.plans.oracle`.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,22 +94,16 @@ def src_cards(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
 
 
 def src_terminals(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
-    """Full terminal snapshot (the workbook's rows), one per nation x region<4."""
-    # every nation gets one terminal per region key 0..3 that exists in `region`
-    regions = table(spark, sf_dir, "region").where(F.col("r_regionkey") < 4).select("r_regionkey")
-    grid = (table(spark, sf_dir, "nation")
-            .select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("r_regionkey"))
-            .join(regions, "r_regionkey", "left_semi"))
-    tid = F.col("n_nationkey") * 4 + F.col("r_regionkey")
+    """Full terminal snapshot (the workbooks' rows): a terminal for each supplier, in its nation."""
+    grid, tid, nation = table(spark, sf_dir, "supplier"), F.col("s_suppkey"), F.col("s_nationkey")
     if version == 1:
         grid = grid.where(tid % 23 != 0)
-    city = F.when(tid % 9 == 0, (F.col("n_nationkey") + 1) % 25).otherwise(F.col("n_nationkey")) \
-        if version == 1 else F.col("n_nationkey")
+    city = F.when(tid % 9 == 0, (nation + 1) % 25).otherwise(nation) if version == 1 else nation
     addr = F.concat(F.lit("addr "), tid.cast("string"))
     if version == 1:
         addr = F.when(tid % 10 == 0, F.concat(addr, F.lit(" bis"))).otherwise(addr)
     return grid.select(
-        F.concat(F.lit("T"), _pad(tid, 4)).alias("terminal_id"),
+        F.concat(F.lit("T"), _pad(tid, 9)).alias("terminal_id"),
         F.when(tid % 2 == 0, F.lit("ATM")).otherwise(F.lit("POS")).alias("terminal_type"),
         F.concat(F.lit("NATION_"), city.cast("string")).alias("terminal_city"),
         addr.alias("terminal_address"),
@@ -121,6 +115,12 @@ def _trans_date(ts: Column) -> Column:
     return F.timestamp_add("SECOND", F.floor(sod / 48).cast("int"), ts.cast("date").cast("timestamp_ntz"))
 
 
+def _terminal(spark: SparkSession, sf_dir: str) -> Column:
+    """The terminal of an operation: one of as many as there are suppliers."""
+    n = max(1, table(spark, sf_dir, "supplier").count())
+    return F.concat(F.lit("T"), _pad(F.col("event_id") % n, 9)).alias("terminal")
+
+
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -131,7 +131,7 @@ def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(30,2)").alias("amt"),
         F.when(F.col("event_type").isin("error", "signup", "click"), F.lit("REJECT"))
          .otherwise(F.lit("SUCCESS")).alias("oper_result"),
-        F.concat(F.lit("T"), _pad(F.col("event_id") % 100, 4)).alias("terminal"),
+        _terminal(spark, sf_dir),
     )
 
 
@@ -146,7 +146,7 @@ def stg_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("oper_type"),
         F.when(F.col("event_type").isin("error", "signup", "click"), F.lit("REJECT"))
          .otherwise(F.lit("SUCCESS")).alias("oper_result"),
-        F.concat(F.lit("T"), _pad(F.col("event_id") % 100, 4)).alias("terminal"),
+        _terminal(spark, sf_dir),
     )
 
 
@@ -160,7 +160,7 @@ def stg_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # materialized fixture states, per Spark context and input folder
-_STORED: dict[tuple[int, str], dict[str, str]] = {}
+_STORED: dict[tuple[str, str], dict[str, str]] = {}
 
 
 @dataclass
@@ -175,9 +175,10 @@ class BankState:
 
     spark: SparkSession
     sf_dir: str
+    _written: dict[str, str] = field(default_factory=dict)
 
-    def _key(self) -> tuple[int, str]:
-        return (id(self.spark.sparkContext._jsc), self.sf_dir)
+    def _key(self) -> tuple[str, str]:
+        return (self.spark.sparkContext.applicationId, self.sf_dir)
 
     def stored(self) -> dict[str, str]:
         if self._key() not in _STORED:
@@ -185,13 +186,13 @@ class BankState:
         return _STORED[self._key()]
 
     def _read(self, name: str) -> DataFrame | None:
-        path = _STORED.get(self._key(), {}).get(name)
+        path = _STORED.get(self._key(), self._written).get(name)
         return self.spark.read.parquet(path) if path else None
 
     def materialize(self) -> dict[str, str]:
         from nightledger.session import scratch
         root = scratch(self.spark, "bank-state")
-        paths = _STORED.setdefault(self._key(), {})
+        paths: dict[str, str] = {}
         plan = [("fact", self.fact), ("blacklist", self.blacklist)]
         for day in (0, 1):
             for dim in ("terminals", "accounts", "cards", "clients"):
@@ -199,6 +200,8 @@ class BankState:
         for name, build in plan:
             build().write.mode("overwrite").parquet(f"{root}/{name}")
             paths[name] = f"{root}/{name}"
+            self._written[name] = paths[name]
+        _STORED[self._key()] = paths  # known to others only when all of it is there
         return paths
 
     def src(self, dim: str, version: int) -> DataFrame:
@@ -258,16 +261,14 @@ def export_files(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     write_transaction_files(tx.where(day < ts_lit(D1)), f"{root}/tx/0")
     write_transaction_files(tx.where(day >= ts_lit(D1)), f"{root}/tx/1")
     for v, d in ((0, "01012024"), (1, "15012024")):
-        ter = src_terminals(spark, sf_dir, v).withColumn("_f", F.lit(f"terminals_{d}.xlsx"))
-        write_workbooks(ter, f"{root}/ter{v}", "_f").collect()
-        bl = stg_blacklist(spark, sf_dir).withColumn("_f", F.lit(f"passport_blacklist_{d}.xlsx"))
-        write_workbooks(bl, f"{root}/bl{v}", "_f").collect()
+        write_workbooks(src_terminals(spark, sf_dir, v), f"{root}/ter{v}", f"terminals_{d}", "terminal_id")
+        write_workbooks(stg_blacklist(spark, sf_dir), f"{root}/bl{v}", f"passport_blacklist_{d}", "passport_num")
     return {"tx": f"{root}/tx", "tx0": f"{root}/tx/0", "tx1": f"{root}/tx/1",
-            "ter0": f"{root}/ter0/terminals_01012024.xlsx",
-            "ter1": f"{root}/ter1/terminals_15012024.xlsx",
+            "ter0": f"{root}/ter0/terminals_01012024*.xlsx",
+            "ter1": f"{root}/ter1/terminals_15012024*.xlsx",
             "ter": f"{root}/ter*/terminals_*.xlsx",
-            "bl0": f"{root}/bl0/passport_blacklist_01012024.xlsx",
-            "bl1": f"{root}/bl1/passport_blacklist_15012024.xlsx"}
+            "bl0": f"{root}/bl0/passport_blacklist_01012024*.xlsx",
+            "bl1": f"{root}/bl1/passport_blacklist_15012024*.xlsx"}
 
 
 def day_inputs(spark: SparkSession, sf_dir: str, paths: dict[str, str], v: int):

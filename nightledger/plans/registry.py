@@ -178,13 +178,13 @@ def _fraud4_strict(spark, sf):
     return strict.fraud4_strict(f, c, a, k, None, RUN_TS)
 
 
-_EXPORTS: dict[tuple[int, str], dict[str, str]] = {}
+_EXPORTS: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def _exports(spark, sf):
     """Export files derived from the test tables, written once per session (upstream input)."""
     from nightledger.session import scratch
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _EXPORTS:
         _EXPORTS[key] = fx.export_files(spark, sf, scratch(spark, "exports"))
     return _EXPORTS[key]

@@ -19,11 +19,15 @@ DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "nightledger", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULTS, **{"spark.sql.shuffle.partitions": str(shuffle_partitions)})
-    conf.update(extra or {})
+    """A session with the library's defaults; master and partition count stay the cluster's unless given."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    conf = dict(DEFAULTS, **(extra or {}))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -34,24 +38,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Set only when the session has none (local tests); on a cluster the
-    folder named by the cluster is used as is.
+    On a local master without one a temporary folder is set (tests). A
+    cluster has to name it: executors would not see the driver's folders.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         sc.setCheckpointDir(d)
     return d
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique folder under the shared directory."""
-    base = shared_dir(spark).rstrip("/")
-    path = f"{base}/nightledger-{tag}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique path under the shared directory; whoever writes there creates it."""
+    return f"{shared_dir(spark).rstrip('/')}/nightledger-{tag}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[str] = set()
@@ -61,7 +63,7 @@ def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers (``addPyFile`` of a zip, once per context)."""
     import zipfile
     sc = spark.sparkContext
-    ident = f"{id(sc._jsc)}"
+    ident = sc.applicationId
     if ident in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))

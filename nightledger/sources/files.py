@@ -7,7 +7,7 @@ ordered by date.
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,23 @@ TERMINALS_STEM = "terminals"
 BLACKLIST_STEM = "passport_blacklist"
 
 
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+# a transactions file: by its own name, or a part file in a folder of that name
+TRANSACTION_FILES = f"{{{_any_case(TRANSACTIONS_STEM)}*,part-*}}"
+_IS_TRANSACTIONS = rf"(?i)(^|/)({TRANSACTIONS_STEM}[^/]*|(file=)?{TRANSACTIONS_STEM}[^/]*/part-[^/]*)$"
+
+
+def unread_files(spark: SparkSession, path: str) -> None:
+    """Raise if a file under ``path`` is not a transactions file, instead of passing it over."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path"))
+    other = listed.where(~F.url_decode("path").rlike(_IS_TRANSACTIONS)).take(3)
+    if other:
+        raise ValueError(f"not transactions files: {', '.join(r.path for r in other)}")
+
+
 def business_date(path: Column, stem: str) -> Column:
     """``<stem>_DDMMYYYY`` anywhere in the path -> timestamp_ntz (NULL if absent)."""
     token = F.regexp_extract(path, rf"{stem}_(\d{{8}})", 1)
@@ -29,10 +46,14 @@ def business_date(path: Column, stem: str) -> Column:
 
 
 def read_transactions(spark: SparkSession, path: str, with_date: bool = False) -> DataFrame:
-    """``;``-separated text with a header, bound to the 7 staging columns by position."""
+    """``;``-separated text with a header, bound to the 7 staging columns by position.
+
+    Every file under ``path`` is read; one that is no transactions file raises.
+    """
+    unread_files(spark, path)
     df = (spark.read.schema(STG_TRANSACTIONS)
           .option("sep", ";").option("header", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.[ct][sx][vt]")
+          .option("pathGlobFilter", TRANSACTION_FILES)
           .csv(path))
     if with_date:
         df = df.withColumn("business_date",
@@ -67,28 +88,27 @@ def write_transaction_files(stg: DataFrame, out_dir: str) -> str:
     return out_dir
 
 
-def _local(path: str) -> str:
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" in path:
-        raise ValueError(f"workbook writer needs a mounted folder, got {path}")
-    return path
-
+def write_workbooks(df: DataFrame, out_dir: str, stem: str, key: str, rows_per_file: int = 5000) -> None:
+    """Write rows as workbooks ``<stem>_<number>.xlsx`` of about ``rows_per_file`` rows.
 
-def write_workbooks(df: DataFrame, out_dir: str, file_col: str) -> DataFrame:
-    """Write one workbook per value of ``file_col``; returns (file, rows) per workbook."""
+    Rows are dealt to files by a hash of ``key``, so the files are written by
+    many tasks, through the file system that ``out_dir`` names.
+    """
     from nightledger.session import ship_package
     ship_package(df.sparkSession)
-    cols = [c for c in df.columns if c != file_col]
-    target = _local(out_dir)
+    cols = df.columns
+    files = max(1, -(-df.count() // rows_per_file))
 
     def write(pdf):
         import pandas as pd
-        name = str(pdf[file_col].iloc[0])
+        from pyarrow import fs
+        system, base = fs.FileSystem.from_uri(re.sub("^file:/*", "file:///", out_dir))
+        system.create_dir(base, recursive=True)
+        name = f"{stem}_{int(pdf['_file'].iloc[0]):06d}.xlsx"
         rows = pdf[cols].astype(object).where(pdf[cols].notna(), None).values.tolist()
-        os.makedirs(target, exist_ok=True)
-        with open(os.path.join(target, name), "wb") as fh:
-            fh.write(xlsx_bytes(cols, rows))
+        with system.open_output_stream(f"{base}/{name}") as out:
+            out.write(xlsx_bytes(cols, rows))
         return pd.DataFrame({"file": [name], "rows": [len(rows)]})
 
-    return df.groupBy(file_col).applyInPandas(write, "file string, rows long")
+    dealt = df.withColumn("_file", F.pmod(F.xxhash64(key), F.lit(files)).cast("int"))
+    dealt.groupBy("_file").applyInPandas(write, "file string, rows long").write.format("noop").mode("overwrite").save()

@@ -3,14 +3,16 @@
 A workbook is a zip archive that cannot be split, so each file is one task:
 ``binaryFile`` lists and loads the files, ``mapInPandas`` parses them with the
 standard library (zip + XML) and emits the first sheet's rows as text,
-bound to the target columns by position like the source loader does.
-A sheet holds at most 1,048,576 rows, which bounds the per-task size.
+bound to the target columns by position like the source loader does. The
+sheet is parsed as a stream and handed on in frames of FRAME rows, so a task
+holds the zipped file, the shared strings and one frame.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import io
+import itertools
 import re
 import zipfile
 from xml.etree import ElementTree as ET
@@ -25,7 +27,9 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # built-in number formats that display a date or time (ECMA-376, 18.8.30)
 _DATE_FMT_IDS = set(range(14, 23)) | set(range(45, 48))
-_EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
+_EPOCH_1900, _EPOCH_1904 = _dt.datetime(1899, 12, 30), _dt.datetime(1904, 1, 1)
+FRAME = 5000
+_M = "{" + _NS["m"] + "}"
 
 
 def _col_index(ref: str) -> int:
@@ -67,45 +71,69 @@ def _first_sheet(z: zipfile.ZipFile) -> str:
     return "xl/worksheets/sheet1.xml"
 
 
-def _number_text(v: str, is_date: bool) -> str:
-    x = float(v)
+def _number_text(v: str, is_date: bool, epoch: _dt.datetime = _EPOCH_1900) -> str:
     if is_date:
-        ts = _EXCEL_EPOCH + _dt.timedelta(days=x)
-        return ts.replace(microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
-    return str(int(x)) if x.is_integer() else v
+        ts = epoch + _dt.timedelta(seconds=round(float(v) * 86_400))
+        return ts.strftime("%Y-%m-%d %H:%M:%S")
+    if re.fullmatch(r"-?[0-9]+", v):
+        return v  # long ids keep all their digits
+    x = float(v)
+    return str(int(x)) if x.is_integer() and abs(x) < 2**53 else v
 
 
-def parse_xlsx(data: bytes) -> list[list[str | None]]:
-    """All rows of the first sheet as text (missing cells are None)."""
+def _epoch(z: zipfile.ZipFile) -> _dt.datetime:
+    props = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    return _EPOCH_1904 if props is not None and props.get("date1904") in ("1", "true") else _EPOCH_1900
+
+
+def _each(stream, tag: str):
+    """Elements of a tag as the stream closes them; what is done with is dropped."""
+    root = None
+    for event, node in ET.iterparse(stream, events=("start", "end")):
+        if root is None:
+            root = node
+        if event == "end" and node.tag == _M + tag:
+            yield node
+            node.clear()
+            root.clear() if root.tag == _M + "sst" else None
+
+
+def iter_rows(data: bytes):
+    """The rows of the first sheet as lists of text, missing cells None, one at a time."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        shared = []
+        shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
-            sroot = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in sroot.iterfind("m:si", _NS)]
-        dates = _date_styles(z)
-        sheet = ET.fromstring(z.read(_first_sheet(z)))
-    rows = []
-    for row in sheet.iterfind("m:sheetData/m:row", _NS):
-        vals: dict[int, str | None] = {}
-        for j, c in enumerate(row.iterfind("m:c", _NS)):
-            idx = _col_index(c.get("r")) if c.get("r") else j
-            kind = c.get("t", "n")
-            v = c.find("m:v", _NS)
-            if kind == "inlineStr":
-                vals[idx] = _text(c.find("m:is", _NS))
-            elif v is None or v.text is None:
-                vals[idx] = None
-            elif kind == "s":
-                vals[idx] = shared[int(v.text)]
-            elif kind in ("str", "e"):
-                vals[idx] = v.text
-            elif kind == "b":
-                vals[idx] = "True" if v.text == "1" else "False"
-            else:
-                vals[idx] = _number_text(v.text, int(c.get("s", "0")) in dates)
-        width = max(vals) + 1 if vals else 0
-        rows.append([vals.get(i) for i in range(width)])
-    return rows
+            with z.open("xl/sharedStrings.xml") as f:
+                shared = [_text(si) for si in _each(f, "si")]
+        dates, epoch = _date_styles(z), _epoch(z)
+        with z.open(_first_sheet(z)) as f:
+            for row in _each(f, "row"):
+                yield _cells(row, shared, dates, epoch)
+
+
+def _cells(row, shared: list[str], dates: set[int], epoch: _dt.datetime) -> list[str | None]:
+    vals: dict[int, str | None] = {}
+    for j, c in enumerate(row.iterfind("m:c", _NS)):
+        idx = _col_index(c.get("r")) if c.get("r") else j
+        kind, v = c.get("t", "n"), c.find("m:v", _NS)
+        if kind == "inlineStr":
+            vals[idx] = _text(c.find("m:is", _NS))
+        elif v is None or v.text is None:
+            vals[idx] = None
+        elif kind == "s":
+            vals[idx] = shared[int(v.text)]
+        elif kind in ("str", "e"):
+            vals[idx] = v.text
+        elif kind == "b":
+            vals[idx] = "True" if v.text == "1" else "False"
+        else:
+            vals[idx] = _number_text(v.text, int(c.get("s", "0")) in dates, epoch)
+    return [vals.get(i) for i in range(max(vals) + 1 if vals else 0)]
+
+
+def parse_xlsx(data: bytes) -> list[list[str | None]]:
+    """All rows of the first sheet."""
+    return list(iter_rows(data))
 
 
 def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
@@ -118,13 +146,14 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
     def parse(batches):
         for pdf in batches:
             for p, content in zip(pdf["path"], pdf["content"]):
-                body = parse_xlsx(bytes(content))[1:]
-                rows = [(r + [None] * len(names))[:len(names)] for r in body
-                        if any(v not in (None, "") for v in r)]
-                frame = pd.DataFrame(rows, columns=names, dtype=object)
-                if with_path:
-                    frame["source_file"] = p
-                yield frame
+                body = itertools.islice(iter_rows(bytes(content)), 1, None)
+                full = ((r + [None] * len(names))[:len(names)] for r in body
+                        if any(v not in (None, "") for v in r))
+                while rows := list(itertools.islice(full, FRAME)):
+                    frame = pd.DataFrame(rows, columns=names, dtype=object)
+                    if with_path:
+                        frame["source_file"] = p
+                    yield frame
 
     from nightledger.session import ship_package
     ship_package(spark)

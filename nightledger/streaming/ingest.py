@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nightledger.schemas import STG_TRANSACTIONS
-from nightledger.sources.files import TRANSACTIONS_STEM, business_date
+from nightledger.sources.files import TRANSACTION_FILES, TRANSACTIONS_STEM, business_date, unread_files
 
 
 def ingest_available_now(spark: SparkSession, src_dir: str, sink_dir: str, checkpoint: str,
-                         archive_dir: str | None = None, timeout_s: int = 600) -> DataFrame:
-    """Stage every not-yet-seen transactions file into ``sink_dir`` (Parquet); return the sink."""
+                         archive_dir: str | None = None) -> DataFrame:
+    """Stage every not-yet-seen transactions file into ``sink_dir`` (Parquet); return the sink.
+
+    Runs until all files are taken, however long that is.
+    """
+    unread_files(spark, src_dir)
     reader = (spark.readStream.schema(STG_TRANSACTIONS)
               .option("sep", ";").option("header", True)
               .option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.[ct][sx][vt]"))
+              .option("pathGlobFilter", TRANSACTION_FILES))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.csv(src_dir).withColumn(
@@ -33,12 +37,7 @@ def ingest_available_now(spark: SparkSession, src_dir: str, sink_dir: str, check
          .partitionBy("business_date")
          .trigger(availableNow=True)
          .start(sink_dir))
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("ingest did not finish")
-    if q.exception() is not None:
-        raise q.exception()
+    q.awaitTermination()
     sink_schema = T.StructType(list(STG_TRANSACTIONS.fields)
                                + [T.StructField("business_date", T.TimestampNTZType())])
     return spark.read.schema(sink_schema).parquet(sink_dir)
