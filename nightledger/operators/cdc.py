@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions.scalar import strip_blanks, ts_lit
+from nightledger.schemas import DIMENSIONS, MAXD
 
 TERMINAL_ATTRS = ("terminal_id", "terminal_type", "terminal_city", "terminal_address")
 
@@ -24,7 +25,22 @@ def changed_since(w: _dt.datetime | Column) -> Column:
 
 def cdc_extract(src: DataFrame, dim: str, w: _dt.datetime | Column) -> DataFrame:
     """Rows changed after the watermark, in staging layout."""
-    src = src.where(changed_since(w))
+    return _layout(src.where(changed_since(w)), dim)
+
+
+def staged(src: DataFrame, dim: str, w: _dt.datetime | Column) -> DataFrame:
+    """One pass over a source: every key, and the attributes of the rows changed after the watermark.
+
+    Unchanged rows carry only their key, so a staged table is little more
+    than the keys and the changes, and both come from the same read.
+    """
+    rows = _layout(src, dim).withColumn("changed", F.coalesce(changed_since(w), F.lit(False)))
+    key = DIMENSIONS[dim]["key"]
+    return rows.select(*[F.col(c) if c in (key, "changed") else F.when(F.col("changed"), F.col(c)).alias(c) for c in rows.columns])
+
+
+def _layout(src: DataFrame, dim: str) -> DataFrame:
+    """A source table in staging layout."""
     if dim == "accounts":
         # fixed-width keys arrive padded with blanks
         return src.select(F.rtrim("account").alias("account_num"), "valid_to", F.rtrim("client").alias("client"),
@@ -47,7 +63,6 @@ def snapshot_diff(snap: DataFrame, hist: DataFrame, null_safe: bool = False,
     matches. ``against="open"`` compares with open rows only and
     ``null_safe=True`` lets NULL match NULL.
     """
-    from nightledger.schemas import MAXD
     if against == "open":
         hist = hist.where(F.col("effective_to") == ts_lit(MAXD))
     h = hist.select(*[F.col(c).alias(f"_h_{c}") for c in TERMINAL_ATTRS])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from nightledger.functions.scalar import ts_lit, within
 from nightledger.operators.party import party_info
 from nightledger.operators.sequence import lagged
+from nightledger.session import shared_dir
 
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -50,7 +51,9 @@ def _span(fact: DataFrame, span: DataFrame | None) -> DataFrame:
 
 
 def _first_op_per_person(fact: DataFrame, info: DataFrame, span: DataFrame | None = None) -> DataFrame:
-    return (_span(fact, span).join(info, "card_num")
+    # a card has as many rows as it has holder versions; one a person is enough
+    person = info.select("card_num", "passport_num", "fio", "phone").distinct()
+    return (_span(fact, span).join(person, "card_num")
             .groupBy("passport_num", "fio", "phone")
             .agg(F.min("first_dt").alias("event_dt")))
 
@@ -70,8 +73,8 @@ def fraud1_blacklist(fact: DataFrame, cards: DataFrame, accounts: DataFrame, cli
                      blacklist: DataFrame, run_ts: _dt.datetime,
                      span: DataFrame | None = None) -> DataFrame:
     """Earliest operation of each blacklisted person (one row per blacklist entry)."""
-    firsts = _first_op_per_person(fact, party_info(cards, accounts, clients), span)
     bl = blacklist.select("passport_num")
+    firsts = _first_op_per_person(fact, party_info(cards, accounts, clients, passports=bl), span)
     return report_rows(bl.join(firsts, "passport_num"), "1", run_ts)
 
 
@@ -132,7 +135,10 @@ def fraud4_events(fact: DataFrame) -> DataFrame:
 def fraud4(fact, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame:
     """Rule 4 as reported: events not older than W, joined with every holder version."""
     # rows older than W - 20 min can neither be an event nor lie in one's window
-    recent = fact.where(F.col("trans_date") >= _ts(w) - F.expr("INTERVAL 20 MINUTES"))
+    since = _ts(w) - F.expr("INTERVAL 20 MINUTES")
+    recent = fact.where(F.col("trans_date") >= since)
+    if "op_date" in fact.columns:  # stored by operation day: older days are not opened
+        recent = recent.where(F.col("op_date") >= since.cast("date"))
     ev = fraud4_events(recent).where(F.col("trans_date") >= _ts(w))
     info = party_info(cards, accounts, clients)
     return report_rows(ev.withColumnRenamed("trans_date", "event_dt").join(info, "card_num"),
@@ -141,7 +147,13 @@ def fraud4(fact, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame
 
 def fraud_report(fact, terminals, cards, accounts, clients, blacklist, w, run_ts,
                  span=None) -> DataFrame:
-    """The day's report rows: rules 1-4 appended (duplicates kept)."""
+    """The day's report rows: rules 1-4 appended (duplicates kept).
+
+    ``span`` (one row per card) is computed once for rules 1 and 2 if not given.
+    """
+    if span is None:
+        shared_dir(fact.sparkSession)
+        span = card_span(fact).checkpoint()
     return (fraud1(fact, cards, accounts, clients, blacklist, run_ts, span)
             .unionByName(fraud2(fact, cards, accounts, clients, run_ts, span))
             .unionByName(fraud3(fact, terminals, cards, accounts, clients, w, run_ts))

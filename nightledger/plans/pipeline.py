@@ -1,7 +1,7 @@
 """The daily job (E1) and the replay of several exports.
 
-One run: stage the day's files and the source snapshots, extract changes
-by watermark, apply SCD2 and delete detection to the four history tables,
+One run: stage the day's files and the source snapshots, each read once,
+extract changes by watermark, apply SCD2 and delete detection to the four history tables,
 append the transactions, refresh the blacklist, advance the watermarks,
 then build the day's fraud report from the *published* tables (reading
 them back cuts the lineage, so a lost executor only recomputes from
@@ -17,10 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.functions.scalar import parse_ddmmyyyy  # noqa: F401  (documented pairing)
 from nightledger.operators import cdc, cleaning, meta, rules, scd2
 from nightledger.plans.store import Warehouse
-from nightledger.schemas import DIMENSIONS, TERMINALS_HIST
+from nightledger.schemas import DIMENSIONS, HIST_TABLES, TERMINALS_HIST
 from nightledger.sources.files import (TERMINALS_STEM, read_blacklist, read_terminals,
                                        read_transactions)
 
@@ -48,76 +47,81 @@ def file_date(path: str, stem: str = TERMINALS_STEM) -> _dt.datetime:
     return _dt.datetime(y, mo, d)
 
 
-def _run_all(jobs) -> None:
-    """Run independent write jobs concurrently; re-raise the first failure."""
+def _run_all(jobs) -> list:
+    """Run independent jobs concurrently; their results in order, or the first failure."""
     from concurrent.futures import ThreadPoolExecutor
+    jobs = list(jobs)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
 def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
             run: int | None = None) -> DataFrame:
-    """Process one export; returns the report rows this run appended."""
-    spark = wh.spark
-    if run is None:
-        prev = wh.committed_run()
-        run = (prev or 0) + 1
-    else:
-        # a rerun of run N starts again from run N-1 and rewrites only run N's folders
-        prev = run - 1 if run > 1 else None
+    """Process one export; returns the report rows this run appended.
+
+    ``run`` may be the last committed run, which is then replaced; earlier
+    runs are refused, as later ones are built on them.
+    """
+    spark, last = wh.spark, wh.committed_run()
+    run = run or (last or 0) + 1
+    prev = run - 1 if run > 1 else None
+    attempt = wh.begin(run)
     day = file_date(inp.terminals)
 
     # control table: tiny (one row per history table), read once on the driver
     m = wh.read("meta_loading", prev) if prev else meta.meta_seed(spark)
     m = meta.watermark_set(m, TERMINALS_HIST, day)
-    marks = {r["tablename"]: r["last_update"] for r in m.collect()}
+    marks = {t: meta.watermark_value(m, t) for t in HIST_TABLES}
+
+    # each source is read once; changes, keys and watermarks all come from the staged rows
+    src = {"accounts": inp.accounts, "cards": inp.cards, "clients": inp.clients}
+    stage = {d: lambda d=d: wh.stage(cdc.staged(src[d], d, marks[DIMENSIONS[d]["meta"]]), d, attempt) for d in src}
+    stage["terminals"] = lambda: wh.stage(read_terminals(spark, inp.terminals), "terminals", attempt)
+    stage["transactions"] = lambda: wh.stage(read_transactions(spark, inp.transactions), "transactions", attempt)
+    staged = dict(zip(stage, _run_all(stage.values()), strict=True))
 
-    src = {"accounts": inp.accounts, "cards": inp.cards, "clients": inp.clients,
-           "terminals": read_terminals(spark, inp.terminals)}
     hist = {d: wh.before(f"dim_{d}_hist", prev) for d in DIMS}
-    stg = {d: cdc.cdc_extract(src[d], d, marks[DIMENSIONS[d]["meta"]])
-           for d in ("accounts", "cards", "clients")}
-    stg["terminals"] = cdc.snapshot_diff(src["terminals"], hist["terminals"])
-
-    # independent outputs of the run go out as concurrent Spark jobs:
-    # today's transactions partition (rerun-safe), the blacklist full refresh,
-    # each history table after SCD2 + delete detection, and the control table
-    fact_today = cleaning.clean_transactions(read_transactions(spark, inp.transactions))
+    stg = {d: staged[d].where("changed").drop("changed") for d in src}
+    stg["terminals"] = cdc.snapshot_diff(staged["terminals"], hist["terminals"])
+    keys = {d: staged[d].select(F.col(DIMENSIONS[d]["key"]).alias("id")) for d in DIMS}
+    _run_all([lambda d=d: scd2.staged_once(stg[d], d) for d in DIMS])
+
+    # independent outputs go out as concurrent Spark jobs: the day's transactions and
+    # those that could not be read, the blacklist, each history table, the control table
     writes = [
-        lambda: wh.write_partition(fact_today, "fact_transactions", day.strftime("%Y-%m-%d")),
-        lambda: wh.write_version(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)),
-                                 "fact_blacklist", run),
+        lambda: wh.write(cleaning.clean_transactions(staged["transactions"]), "fact_transactions", attempt),
+        lambda: wh.stage(cleaning.rejects(staged["transactions"]), "rejects", attempt),
+        lambda: wh.write(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)), "fact_blacklist", attempt),
     ]
     for d in DIMS:
         h = scd2.scd2_apply(hist[d], stg[d], d, eff_from=day if d == "terminals" else None)
-        h = scd2.tombstone(h, cdc.snapshot_keys(src[d], d), d, day if d == "terminals" else run_ts)
-        writes.append(lambda h=h, d=d: wh.write_version(h, f"dim_{d}_hist", run))
-    for d in ("accounts", "cards", "clients"):
+        h = scd2.tombstone(h, keys[d], d, day if d == "terminals" else run_ts)
+        writes.append(lambda h=h, d=d: wh.write(h, f"dim_{d}_hist", attempt))
+    for d in src:
         m = meta.watermark_advance(m, stg[d], d)
-    writes.append(lambda m=m: wh.write_version(m, "meta_loading", run))
+    writes.append(lambda m=m: wh.write(m, "meta_loading", attempt))
     _run_all(writes)
 
     # per-card first/last operation, maintained incrementally for rules 1 and 2
-    today = spark.read.parquet(f"{wh.root}/fact_transactions/load_date={day:%Y-%m-%d}")
+    fact = wh.read("fact_transactions", prev or 0, attempt)
+    today = spark.read.parquet(f"{wh.root}/fact_transactions/attempt={attempt}")
     span = (wh.before("card_span", prev).unionByName(rules.card_span(today))
             .groupBy("card_num").agg(F.min("first_dt").alias("first_dt"),
                                      F.max("last_dt").alias("last_dt")))
-    wh.write_version(span, "card_span", run)
+    wh.write(span, "card_span", attempt)
 
-    # report from the published tables
-    t = {d: wh.read(f"dim_{d}_hist", run) for d in DIMS}
-    fact = wh.read("fact_transactions").drop("load_date")
+    # report from the published tables: transactions of the runs before and of this one
+    t = {d: wh.read(f"dim_{d}_hist", attempt=attempt) for d in DIMS}
     report = rules.fraud_report(fact, t["terminals"], t["cards"], t["accounts"], t["clients"],
-                                wh.read("fact_blacklist", run), day, run_ts,
-                                span=wh.read("card_span", run))
-    wh.write_partition(report, "rep_fraud", run)
-    wh.commit(run, day, run_ts)
-    return wh.read("rep_fraud").where(F.col("report_run") == run).drop("report_run")
+                                wh.read("fact_blacklist", attempt=attempt), day, run_ts,
+                                span=wh.read("card_span", attempt=attempt))
+    wh.write(report, "rep_fraud", attempt)
+    wh.commit(attempt, day, run_ts)
+    return wh.read("rep_fraud", 0, attempt)
 
 
 def replay(wh: Warehouse, days: list[tuple[DayInputs, _dt.datetime]]) -> DataFrame:
     """Run several exports in business-date order; returns the whole report."""
     for inp, run_ts in sorted(days, key=lambda x: file_date(x[0].terminals)):
         run_day(wh, inp, run_ts)
-    return wh.read("rep_fraud").drop("report_run")
+    return wh.read("rep_fraud")

@@ -1,22 +1,30 @@
-"""Parquet warehouse with run-versioned publish.
-
-* versioned tables (history dimensions, control table, blacklist fact,
-  per-card span state) are written whole per run to ``<table>/run=<n>``;
-  nothing is ever overwritten in place, so a plan never writes a path it reads;
-* accumulating tables (transactions fact, fraud report) are partitioned by
-  load date / run and written with dynamic partition overwrite, so a rerun
-  of a day replaces exactly that day;
-* a run becomes visible when its one-row marker lands in ``_runs`` (written
-  last); readers take the highest committed run. A crashed run leaves
-  invisible directories that the rerun overwrites.
+"""Parquet warehouse of committed attempts.
+
+* Every execution of a run is an attempt with folders of its own,
+  ``<table>/attempt=<run>-<id>``: nothing is overwritten, and a plan never
+  writes a path that it reads.
+* An attempt counts when its one-row marker lands in ``_runs``, written last.
+  Of several attempts of a run the one committed last counts. Readers open
+  only folders of counting attempts, so what a crashed attempt has left is
+  never seen.
+* State tables (history, control table, blacklist, first and last operation
+  per card) are written whole; the transactions and the report accumulate: a
+  read takes the folders of all counting runs up to the one asked for.
+* The transactions of an attempt are partitioned by operation day, so a
+  filter on ``op_date`` opens only those days.
+* Staged rows of an attempt are tables as well (``stage``), written once and
+  then read by everything that needs them.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from nightledger import schemas as S
 
@@ -31,13 +39,11 @@ VERSIONED = {
                                T.StructField("first_dt", T.TimestampNTZType()),
                                T.StructField("last_dt", T.TimestampNTZType())]),
 }
-ACCUMULATING = {
-    "fact_transactions": (S.FACT_TRANSACTIONS, "load_date"),
-    "rep_fraud": (S.REP_FRAUD, "report_run"),
-}
-RUNS = T.StructType([T.StructField("run", T.IntegerType()),
-                     T.StructField("business_date", T.TimestampNTZType()),
-                     T.StructField("run_ts", T.TimestampNTZType())])
+#: Accumulating tables, with the expression of the day they are partitioned by.
+ACCUMULATING = {"fact_transactions": (S.FACT_TRANSACTIONS, "trans_date"), "rep_fraud": (S.REP_FRAUD, None)}
+RUNS = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("attempt", T.StringType()),
+                     T.StructField("business_date", T.TimestampNTZType()), T.StructField("run_ts", T.TimestampNTZType()),
+                     T.StructField("committed_at", T.TimestampNTZType())])
 
 
 class Warehouse:
@@ -45,49 +51,74 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # ---- run bookkeeping ----
+    # ---- runs and attempts ----
     def runs(self) -> DataFrame:
+        """Counting attempts, one row a run."""
         try:
-            return self.spark.read.schema(RUNS).parquet(f"{self.root}/_runs")
-        except AnalysisException:
+            marks = self.spark.read.schema(RUNS).parquet(f"{self.root}/_runs")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # unreadable is not empty
             return self.spark.createDataFrame([], RUNS)
+        last = F.max_by(F.struct("attempt", "business_date", "run_ts", "committed_at"), "committed_at").alias("m")
+        return marks.groupBy("run").agg(last).select("run", "m.*")
+
+    def _attempts(self, upto: int | None = None) -> dict[int, str]:
+        """Counting attempts by run: a row for each day ever loaded."""
+        rows = self.runs().select("run", "attempt").collect()
+        return {r["run"]: r["attempt"] for r in rows if upto is None or r["run"] <= upto}
 
     def committed_run(self) -> int | None:
-        row = self.runs().agg(F.max("run")).first()
-        return row[0]
+        return max(self._attempts(), default=None)
+
+    def begin(self, run: int) -> str:
+        """A new attempt of a run. A run below the last committed one would contradict later ones."""
+        last = self.committed_run()
+        if last is not None and run < last:
+            raise ValueError(f"run {run} cannot be repeated: run {last} is built on it")
+        return f"{run:06d}-{uuid.uuid4().hex[:12]}"
 
-    def commit(self, run: int, business_date, run_ts) -> None:
-        (self.spark.createDataFrame([(run, business_date, run_ts)], RUNS)
+    def commit(self, attempt: str, business_date, run_ts) -> None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        (self.spark.createDataFrame([(int(attempt[:6]), attempt, business_date, run_ts, now)], RUNS).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/_runs"))
 
-    # ---- versioned tables ----
-    def read(self, table: str, run: int | None = None) -> DataFrame:
-        """The table as of ``run`` (default: last committed); empty if never written."""
-        run = self.committed_run() if run is None else run
-        if table in ACCUMULATING:
-            schema, part = ACCUMULATING[table]
-            try:
-                df = self.spark.read.parquet(f"{self.root}/{table}")
-            except AnalysisException:
-                return self.spark.createDataFrame([], schema)
-            return df.select(*[f.name for f in schema.fields], part) if part in df.columns else df
-        if run is None:
-            return self.spark.createDataFrame([], VERSIONED[table])
-        return self.spark.read.schema(VERSIONED[table]).parquet(f"{self.root}/{table}/run={run:06d}")
+    # ---- tables ----
+    def write(self, df: DataFrame, table: str, attempt: str) -> None:
+        schema, day = ACCUMULATING.get(table) or (VERSIONED[table], None)
+        rows = df.select(*[f.name for f in schema.fields])
+        path = f"{self.root}/{table}/attempt={attempt}"
+        if day:
+            rows.withColumn("op_date", F.to_date(day)).write.partitionBy("op_date").parquet(path)
+        else:
+            rows.write.parquet(path)
+
+    def stage(self, df: DataFrame, name: str, attempt: str) -> DataFrame:
+        """Rows of this attempt, written once and read back."""
+        path = f"{self.root}/_staging/{name}/attempt={attempt}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def read(self, table: str, run: int | None = None, attempt: str | None = None) -> DataFrame:
+        """The table as of ``run`` (default: the last committed), and of an open ``attempt`` if given.
+
+        A state table that no run has written is empty.
+        """
+        known = self._attempts(run)
+        if table in VERSIONED:
+            of = attempt or (known[max(known)] if known else None)
+            return self.empty(table) if of is None else self.spark.read.schema(VERSIONED[table]).parquet(f"{self.root}/{table}/attempt={of}")
+        schema, day = ACCUMULATING[table]
+        folders = [known[r] for r in sorted(known)] + ([attempt] if attempt else [])
+        if not folders:
+            return self.empty(table)
+        full = T.StructType(list(schema.fields) + ([T.StructField("op_date", T.DateType())] if day else []))
+        return (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}")
+                .parquet(*[f"{self.root}/{table}/attempt={a}" for a in folders]).select(*full.names))
 
     def empty(self, table: str) -> DataFrame:
-        return self.spark.createDataFrame([], VERSIONED[table])
+        return self.spark.createDataFrame([], VERSIONED.get(table) or ACCUMULATING[table][0])
 
     def before(self, table: str, run: int | None) -> DataFrame:
         """State as of run ``run`` exactly; empty when there is no earlier run."""
         return self.empty(table) if run is None else self.read(table, run)
-
-    def write_version(self, df: DataFrame, table: str, run: int) -> None:
-        cols = [f.name for f in VERSIONED[table].fields]
-        df.select(*cols).write.mode("overwrite").parquet(f"{self.root}/{table}/run={run:06d}")
-
-    def write_partition(self, df: DataFrame, table: str, value) -> None:
-        schema, part = ACCUMULATING[table]
-        (df.select(*[f.name for f in schema.fields]).withColumn(part, F.lit(value))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part).parquet(f"{self.root}/{table}"))

@@ -50,8 +50,10 @@ def test_duplicate_staged_key_fails(spark):
     t1, t2 = T0 + dt.timedelta(days=1), T0 + dt.timedelta(days=2)
     stg = spark.createDataFrame([("A1", None, "C1", T0, t1), ("A1", None, "C1", T0, t2)],
                                 S.STG_ACCOUNTS)
-    with pytest.raises(Exception):
-        scd2.scd2_apply(hist, stg, "accounts").collect()
+    for rows in (stg, scd2.scd2_open(stg, "accounts")):
+        with pytest.raises(ValueError):
+            scd2.staged_once(rows, "accounts")
+    assert scd2.scd2_apply(hist, scd2.staged_once(stg.limit(1), "accounts"), "accounts").count() == 2
 
 
 @settings(max_examples=10, deadline=None)
