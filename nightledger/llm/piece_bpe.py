@@ -42,7 +42,7 @@ SHORT = 48  # symbols up to which a plain list serves as agenda
 class Codec:
     """Encoder and decoder of one model file. Ids travel as strings of chr(id)."""
 
-    kept = 500_000  # chunks remembered, and parts of chunks
+    kept = 350_000  # chunks remembered, and parts of chunks
 
     def __init__(self, model_path: str):
         import sentencepiece
