@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import ready, stored
+from nightledger.llm.common import bounded_sample, ready, stored
 
 SAMPLE, BRANCH, LEAF, LLOYD = 20_000, 8, 64, 8
 BLOCK, RECALL, CALIBRATION = 2000, 0.97, 300
@@ -164,12 +164,12 @@ def search(rows: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", embed
     ready(rows.sparkSession)
     out_schema = "query_id long, vec_id long, score double"
     vectors = usable(rows, vec_id, embedding)
-    sample = vectors.select("v", F.xxhash64(F.lit(seed), "vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(SAMPLE).collect()
+    sample = sorted(bounded_sample(vectors, ["vec_id"], SAMPLE, seed).collect())
     if not sample:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lengths = [len(r["v"]) for r in sample]
     dim = max(sorted(set(lengths)), key=lengths.count)
-    x = np.array([r["v"] for r in sample if len(r["v"]) == dim])
+    x = np.random.default_rng(seed).permutation(np.array([r["v"] for r in sample if len(r["v"]) == dim]))
     tree = Tree(x, seed)
     visits = tree.calibrated(x, k)
 
