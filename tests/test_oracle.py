@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
+from nightledger.plans import oracle, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= E.queries().keys() and SQL.items() <= E.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
