@@ -116,7 +116,8 @@ def fraud3_events(fact: DataFrame, terminals: DataFrame) -> DataFrame:
 
 def fraud3(fact, terminals, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame:
     """Rule 3 as reported: the all-time first event, kept if it is not older than W."""
-    ev = fraud3_events(fact, terminals).where(F.col("event_dt") >= _ts(w))
+    # the report joins on the card, so operations without one need not be sorted
+    ev = fraud3_events(fact.where(F.col("card_num").isNotNull()), terminals).where(F.col("event_dt") >= _ts(w))
     return report_rows(ev.join(party_info(cards, accounts, clients), "card_num"), "3", run_ts)
 
 
@@ -136,7 +137,7 @@ def fraud4(fact, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame
     """Rule 4 as reported: events not older than W, joined with every holder version."""
     # rows older than W - 20 min can neither be an event nor lie in one's window
     since = _ts(w) - F.expr("INTERVAL 20 MINUTES")
-    recent = fact.where(F.col("trans_date") >= since)
+    recent = fact.where((F.col("trans_date") >= since) & F.col("card_num").isNotNull())
     if "op_date" in fact.columns:  # stored by operation day: older days are not opened
         recent = recent.where(F.col("op_date") >= since.cast("date"))
     ev = fraud4_events(recent).where(F.col("trans_date") >= _ts(w))
