@@ -241,7 +241,16 @@ def test_bands_follow_recall():
     assert paragraph_dedup.bands_for(80, 0.9995) == 5 and paragraph_dedup.bands_for(80, 0.9995, 2) == 8
 
 
-def test_line_positions_are_code_points():
-    text = "é😀 ab\n\n ñ cd  e"
-    got = [text[s:e] for _, start, end in paragraph_dedup.lines_of(text, WordHashes()) for s, e in zip(start, end, strict=True)]
-    assert got == ["é😀", "ab", "ñ", "cd", "e"]
+def test_words_have_code_point_places_and_lines():
+    texts = ["é😀 ab\n\n ñ cd  e", "", "x\ty"]
+    w = paragraph_dedup.Words(texts, WordHashes())
+    assert [texts[t][s:e] for t, s, e in zip(w.text, w.start, w.end, strict=True)] == ["é😀", "ab", "ñ", "cd", "e", "x", "y"]
+    assert [bool(x) for x in w.line[1:] != w.line[:-1]] == [False, True, False, False, True, False]
+
+
+def test_cuts_do_not_depend_on_neighbouring_texts():
+    rng = random.Random(8)
+    texts = [" ".join(f"t{rng.randrange(50)}" for _ in range(rng.randrange(60))) for _ in range(30)]
+    together, cache = paragraph_dedup.Words(texts, WordHashes()), WordHashes()
+    alone = [paragraph_dedup.Words([t], cache).cuts().tolist() for t in texts]
+    assert together.cuts().tolist() == [x for a in alone for x in a]
