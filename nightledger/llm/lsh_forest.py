@@ -13,6 +13,16 @@ components. Candidates are tried in two rounds: each document's best one
 first, then all whose ends the first round left in different components, so a
 group of thousands of copies is not compared pair by pair.
 
+Neighbours alone miss members of a star: copies of one document that are not
+copies of each other stand between it and the rest. So all documents that
+share the first MIN_DEPTH values of a label are a bucket, and buckets that
+still hold several components go on in rounds: members meet the bucket's
+representatives (the one with the most links first, then 4, 16, ... of them,
+each the best of its hash slot), which then leave the bucket, until one
+component or one member is left. So every pair that shares a bucket was tried
+or is in one component; a pair of similarity 0.8 shares none with odds of 3e-6.
+A bucket of many documents none of which are linked is compared pair by pair.
+
 Exact copies (equal sets) are one node from the start, found by a grouped
 minimum. Sorting is a range partitioning on (tree, label, node), so equal
 labels are spread over partitions too.
@@ -175,6 +185,44 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return full.mapInArrow(each, "u long, v long").distinct()
 
 
+def linked_in_buckets(labels: DataFrame, part: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``part`` (node, component) after all pairs that share a bucket were tried or are in one component.
+
+    ``links`` are the pairs (u, v) confirmed so far.
+    """
+    bucket = F.xxhash64("tree", F.substring("label", 1, 2 * MIN_DEPTH)).alias("bucket")
+    degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+
+    def alive(rows):
+        """Rows (bucket, node, degree) of buckets with several components, and their components."""
+        of = rows.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = of.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
+        return stored(of.join(several, "bucket", "left_semi"), "buckets")
+
+    rows = alive(labels.select(bucket, "node").join(degree, "node", "left"))
+    texts = tried = None
+    slots = 1
+    while not rows.isEmpty():
+        if texts is None:  # later rounds know no other documents
+            ids = rows.select(F.col("node").alias("doc_id")).distinct()
+            texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+        slot = F.pmod(F.xxhash64(F.lit(slots), "node"), F.lit(slots))
+        heads = stored(rows.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("node")).alias("least"), "component")).alias("x"))
+                       .select("bucket", (-F.col("x.least")).alias("head"), F.col("x.component").alias("other")), "heads")
+        pairs = (rows.join(heads, "bucket").where(F.col("component") != F.col("other"))
+                 .select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct())
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+        pairs = stored(pairs, "candidates")
+        tried = pairs if tried is None else tried.union(pairs)
+        new = stored(confirmed(pairs, texts, k, percent), "links")
+        if not new.isEmpty():
+            part = components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(new)).checkpoint()
+        rows = alive(rows.select("bucket", "node", "degree").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti"))
+        slots *= 4
+    return part
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -185,7 +233,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = stored(signatures(docs, k), "signatures")
     known = sets.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     nodes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "nodes")
-    pairs = stored(_neighbours(_labels(nodes.select("node", "sig"))), "candidates")
+    labels = _labels(nodes.select("node", "sig"))
+    pairs = stored(_neighbours(labels), "candidates")
     # round 1: each node's best candidate, as the larger end
     best = (pairs.groupBy("u").agg(F.max_by("v", F.struct("depth", "n", -F.col("v"))).alias("v")))
     first = stored(confirmed(best, docs, k, percent), "links")
@@ -195,7 +244,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .join(part.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
             .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")))
     second = stored(confirmed(rest, docs, k, percent), "links")
-    whole = components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second))
+    whole = components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second)).checkpoint()
+    whole = linked_in_buckets(labels, whole, first.union(second), docs, k, percent)
     named = (nodes.select("digest", "node").join(whole, "node", "left")
              .select("digest", F.coalesce("component", "node").alias("component_id")))
     of_empty = F.when(F.col("digest").isNull(), F.col("doc_id"))
