@@ -4,9 +4,9 @@ Every document's set of word shingles gets a MinHash signature. A tree of the
 forest reads the signature in an order of its own: its label is a fixed number
 of signature values. Sorting all labels of a tree puts documents with a long
 common prefix side by side, so the candidates of a document are its
-neighbours in the sorted orders. The depth to which neighbours must agree
-adapts to the region: where many labels share a prefix, the prefix has to be
-longer, until the region is small or the label ends.
+neighbours in the sorted orders that agree on MIN_DEPTH values or more,
+however many rows share them: neighbour pairs are linear in the rows, and the
+sorting puts those that agree longest side by side.
 
 Candidates are confirmed on the full shingle sets. Confirmed links become
 components. Candidates are tried in two rounds: each document's best one
@@ -48,7 +48,7 @@ from nightledger.llm.common import WordHashes, ready, stored, window_hashes, wor
 from nightledger.llm.components import components
 
 VALUES, TREES, DEPTH = 128, 32, 12   # signature values, trees, values in a label
-MIN_DEPTH, REGION = 5, 512           # least common prefix; regions above this go deeper
+MIN_DEPTH = 5                        # least common prefix of candidates
 
 
 def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
@@ -115,18 +115,6 @@ def _common(tree: np.ndarray, label: np.ndarray) -> np.ndarray:
     return out
 
 
-def _accepted(lcp: np.ndarray) -> np.ndarray:
-    """Whether row i and the row before agree deeply enough for their region.
-
-    The region of a pair are the rows around that share its whole common prefix.
-    """
-    ok = lcp >= DEPTH
-    for d in range(MIN_DEPTH, DEPTH):
-        run = np.cumsum(lcp < d)
-        ok |= (lcp == d) & (np.bincount(run)[run] <= REGION)
-    return ok
-
-
 def _neighbours(labels: DataFrame) -> DataFrame:
     """Candidate pairs (u, v, depth) of neighbours in the sorted orders; u is the larger node."""
     def each(batches):
@@ -146,7 +134,7 @@ def _neighbours(labels: DataFrame) -> DataFrame:
             else:
                 tree, label, node = (np.concatenate([[x], y]) for x, y in zip(last, (tree, label, node), strict=True))
             lcp = _common(tree, label)
-            at = np.flatnonzero(_accepted(lcp))
+            at = np.flatnonzero(lcp >= MIN_DEPTH)
             u, v = np.maximum(node[at], node[at - 1]), np.minimum(node[at], node[at - 1])
             none = [None] * len(at)
             yield made((u, v, lcp[at], none, none))

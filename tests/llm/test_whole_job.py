@@ -42,3 +42,13 @@ def test_forest_links_a_star_of_copies(spark):
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
     want = brute(rows, 2)
     assert set(want.values()) == {0, 5000} and got == want
+
+
+def test_forest_neighbours_in_a_large_region(spark):
+    """Neighbours that agree on the least prefix only are candidates, however many rows share it."""
+    rng = random.Random(4)
+    head = bytes(2 * lsh_forest.MIN_DEPTH)
+    rows = [(0, head + rng.randbytes(2 * (lsh_forest.DEPTH - lsh_forest.MIN_DEPTH)), i) for i in range(2000)]
+    got = lsh_forest._neighbours(spark.createDataFrame([(t, bytearray(x), i) for t, x, i in rows], "tree int, label binary, node long"))
+    order = [i for _, _, i in sorted(rows)]
+    assert {(r.u, r.v) for r in got.collect()} >= {(max(p), min(p)) for p in zip(order, order[1:])}
