@@ -2,7 +2,7 @@
 
 import random
 
-from nightledger.llm import lsh_forest
+from nightledger.llm import lsh_forest, paragraph_dedup
 
 
 def changed(rng, words, n, tag):
@@ -52,3 +52,16 @@ def test_forest_neighbours_in_a_large_region(spark):
     got = lsh_forest._neighbours(spark.createDataFrame([(t, bytearray(x), i) for t, x, i in rows], "tree int, label binary, node long"))
     order = [i for _, _, i in sorted(rows)]
     assert {(r.u, r.v) for r in got.collect()} >= {(max(p), min(p)) for p in zip(order, order[1:])}
+
+
+def test_equal_lines_without_a_near_variant_are_repeated(spark):
+    """Lines of 20 words that two documents share between lines of their own."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for p in range(30):
+        line = text(20)
+        rows += [(2 * p + i, f"{text(9)}\n{line}\n{text(9)}") for i in range(2)]
+    got = {r.doc_id: r for r in paragraph_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == set(range(60))
+    assert all([s.removed for s in got[i].spans] == [i % 2 == 1] and sum(s.words for s in got[i].spans) == 20 for i in got)
