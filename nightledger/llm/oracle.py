@@ -43,3 +43,74 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words) AS kept
 FROM stats
 """
+
+
+def _merkle(levels: int = 14) -> str:
+    """Every level of every tree, at most FAN ** levels rows a source; a tree of one node stays as it is."""
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS varchar))) || ':' || CAST({c} AS varchar) END"
+
+    def hashed(text):
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+    shown = "replace(text, chr(10), '')"
+
+    def climb(base: str, to: str) -> list[str]:
+        # base0 (tree, pos, h): nodes; walk0 (r, tree, pos, proof, f): rows on their way up
+        out = []
+        for k in range(levels):
+            out += [f"{base}n{k} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY tree) AS cnt FROM {base}{k})",
+                    f"{base}{k + 1} AS MATERIALIZED (SELECT tree, pos // 3 AS pos, CASE WHEN any_value(cnt) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) "
+                    f"ELSE any_value(h) END AS h FROM {base}n{k} GROUP BY tree, pos // 3)",
+                    f"{to}{k + 1} AS MATERIALIZED (SELECT w.r, w.tree, w.pos // 3 AS pos, "
+                    f"any_value(w.proof) || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> w.pos), '') AS proof, "
+                    f"CASE WHEN any_value(cnt) > 1 THEN sha256(string_agg(CASE WHEN n.pos = w.pos THEN w.f ELSE n.h END, '' ORDER BY n.pos)) ELSE any_value(w.f) END AS f "
+                    f"FROM {to}{k} w JOIN {base}n{k} n ON n.tree IS NOT DISTINCT FROM w.tree AND n.pos // 3 = w.pos // 3 GROUP BY w.r, w.tree, w.pos)"]
+        return out
+
+    bytes_of = "list_transform(range(1, length(CAST(doc_id AS varchar)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS varchar), i, 1)) AS bigint))"
+    # the checksum's polynomial 0xEDB88320, reflected; the last xor with all ones turns the lowest bit round
+    crc = (f"list_reduce(list_prepend(4294967295, {bytes_of}), lambda c, b: "
+           "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))")
+    ctes = [f"d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, {hashed('text')} AS leaf, "
+            f"CASE WHEN ({crc} & 1) = 1 THEN {hashed(shown)} ELSE {hashed('text')} END AS claim FROM documents)",
+            "p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d)",
+            "l0 AS (SELECT source AS tree, pos, leaf AS h FROM p)", "w0 AS (SELECT r, source AS tree, pos, '' AS proof, claim AS f FROM p)",
+            *climb("l", "w"),
+            f"s AS MATERIALIZED (SELECT tree, h, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS pos FROM l{levels})",
+            "t0 AS (SELECT 1 AS tree, pos, h FROM s)",
+            f"v0 AS (SELECT w.r, 1 AS tree, s.pos, w.proof, w.f FROM w{levels} w JOIN s ON s.tree IS NOT DISTINCT FROM w.tree)",
+            *climb("t", "v")]
+    return (f"WITH {', '.join(ctes)} SELECT p.doc_id, p.leaf, s.h AS subroot, t{levels}.h AS root, sha256(v.proof) AS proof_sha256, v.f AS folded_root, "
+            f"v.f = t{levels}.h AS verified FROM v{levels} v JOIN p USING (r) JOIN s ON s.tree IS NOT DISTINCT FROM p.source CROSS JOIN t{levels}")
+
+
+OP11 = _merkle()
+
+
+def _codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Codebooks as lists of integers, every part against every entry, round by round."""
+    def nearest(k):
+        return (f"a{k} AS MATERIALIZED (SELECT p, part, any_value(n) AS n, min(struct_pack(d := list_sum(list_transform(list_zip(part, c), "
+                f"lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best FROM u JOIN b{k} USING (p) GROUP BY p, part)")
+
+    ctes = ["v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS x "
+            "FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+            f"c AS MATERIALIZED (SELECT r, vec_id, p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS part FROM v, range({parts}) AS o(p))",
+            "u AS MATERIALIZED (SELECT p, part, count(*) AS n FROM c GROUP BY ALL)",
+            f"b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id, part) - 1 AS e, part AS c FROM c WHERE vec_id IS NOT NULL "
+            f"QUALIFY e < {entries})"]
+    for k in range(rounds):
+        ctes += [nearest(k),
+                 f"m{k} AS MATERIALIZED (SELECT p, e, list(CAST(floor(s) AS bigint) ORDER BY i) AS c FROM (SELECT p, best.e AS e, i, sum(part[i + 1] * n) // sum(n) "
+                 f"- CASE WHEN sum(part[i + 1] * n) < 0 AND sum(part[i + 1] * n) % sum(n) <> 0 THEN 1 ELSE 0 END AS s "
+                 f"FROM a{k}, range(len(part)) AS o(i) GROUP BY p, best.e, i) GROUP BY p, e)",
+                 f"b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, e))"]
+    ctes += [nearest(rounds),
+             f"f AS MATERIALIZED (SELECT r, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, sum(best.d) AS error FROM c JOIN a{rounds} USING (p, part) GROUP BY r)",
+             f"h AS (SELECT sha256(string_agg(CAST(c[i + 1] AS varchar), ',' ORDER BY p, e, i)) AS s FROM b{rounds}, range(len(c)) AS o(i))"]
+    return (f"WITH {', '.join(ctes)} SELECT vec_id, code, CAST(error AS bigint) AS error, CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, "
+            "h.s AS codebooks_sha256 FROM v JOIN f USING (r) CROSS JOIN h")
+
+
+OP13 = _codes()

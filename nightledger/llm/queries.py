@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nightledger.llm import (kmeans_tree, language_crf, lsh_forest, mixing, oracle, paragraph_dedup, pii_crf, piece_bpe, quality_cascade,
-                             secret_scan, toxicity)
+from nightledger.llm import (code_trie, kmeans_tree, language_crf, lsh_forest, merkle_manifest, mixing, oracle, paragraph_dedup, pii_crf,
+                             piece_bpe, quality_cascade, secret_scan, toxicity, window_packing)
 from nightledger.llm.common import held_out, table
 
 TOXIC_FOLD, TOXIC = (3, 1), 0.7
@@ -70,11 +70,31 @@ def op10_quality_cascade(spark, sf_dir):
     return quality_cascade.judged(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    # readers are shown texts without their line feeds where the id's checksum is even
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    shown = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle_manifest.leaves(table(spark, sf_dir, "documents"), shown)
+    return merkle_manifest.digests(merkle_manifest.proofs(*merkle_manifest.manifest(rows)))
+
+
+def op12_window_packing(spark, sf_dir):
+    return window_packing.digests(window_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
+def op13_code_trie(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    books = code_trie.train(vectors)
+    return code_trie.digests(code_trie.encode(vectors, books), books)
+
+
 def queries():
     ours = (op1_source_mixing, op2_secret_scan, op3_pii_crf, op4_paragraph_dedup, op5_toxicity, op6_kmeans_tree,
-            op7_sentencepiece, op8_language_crf, op9_minhash_forest, op10_quality_cascade)
+            op7_sentencepiece, op8_language_crf, op9_minhash_forest, op10_quality_cascade, op11_merkle_manifest,
+            op12_window_packing, op13_code_trie)
     return {f.__name__: f for f in ours}
 
 
 def oracle_sql():
-    return {"op9_minhash_forest": oracle.OP9, "op10_quality_cascade": oracle.OP10}
+    return {"op9_minhash_forest": oracle.OP9, "op10_quality_cascade": oracle.OP10, "op11_merkle_manifest": oracle.OP11,
+            "op13_code_trie": oracle.OP13}
