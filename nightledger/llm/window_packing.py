@@ -17,12 +17,16 @@ A task packs the documents of its partition and holds ``most_open`` windows at
 most; nothing is shuffled, and a task that is run again makes the same
 sequences (ids are the partition's place and a counter).
 
-Tokens come from the ``tokenizers`` library. A boundary between two of its
+Tokens are those of the ``tokenizers`` library. A boundary between two of its
 words always lies before white space that follows something else, so texts
 are cut there and each distinct cut is encoded once and remembered in a
-bounded table; texts with U+001C to U+001F, which are white space to some and
-not to others, are encoded whole, and one whole text of every batch is held
-against the library. A difference raises.
+bounded table. New cuts of Latin letters go, joined to long strings, to
+``tiktoken`` over the same vocabulary, which merges three to five times as
+fast; their ids are dealt to the cuts by the bytes they stand for, which has to
+come out even. Other cuts and those with a special token go to the library, and
+texts with U+001C to U+001F, which are white space to some and not to others,
+go there whole. One whole text of every batch is held against the library. A
+difference raises.
 
 Defined results: null is read as an empty text, which has the closing id
 alone; a null id stays; rows that repeat an id are documents of their own;
@@ -42,6 +46,9 @@ from nightledger.llm.common import ready
 
 WINDOW, CLOSING, MOST_OPEN = 1024, 0, 256
 CUTS, UNSURE = re.compile(r"\s*\S+|\s+"), re.compile("[\x1c-\x1f]")
+JOINED = re.compile("[ \\n\\t\\r]+[\\x21-\\u024f]*[\\x21-\\x7e\\xa1-\\u024f]")   # cuts whose letters and signs mean the same to every library
+# fixed values: what parts a text into words before byte pairs are merged
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PROBES = ("", " ", "a", " a  b\n\n c\t", "it's 12,3  x", "é  😀\r\n", "<|endoftext|> a")
 ID_BYTES = 4   # ids are little-endian unsigned 32-bit numbers
 
@@ -49,35 +56,79 @@ ID_BYTES = 4   # ids are little-endian unsigned 32-bit numbers
 class Words:
     """Texts -> bytes of their ids, by a tokenizer file."""
 
-    kept = 300_000  # cuts remembered
+    kept = 500_000    # cuts remembered
+    joined = 2_000    # cuts in one string for the library
+    at_once = 200_000  # cuts of texts that are looked up together
 
     def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        import tiktoken
         from tokenizers import Tokenizer
         self.library, self.known = Tokenizer.from_file(path), {}
-        for p in PROBES:
-            if self(p) != self.whole(p):
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        # a token's characters stand for bytes: printable ones for themselves, the others for 256, 257, ... in order
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(own)))}
+        ranks = {bytes(map(byte.__getitem__, t)): i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.bytes_of[list(ranks.values())] = list(map(len, ranks))
+        for p, ids in zip(PROBES, self.batch(list(PROBES)), strict=True):
+            if ids != self.whole(p):
                 raise ValueError(f"the tokenizer has words that cross white space: {p!r}")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if UNSURE.search(text):
-            return self.whole(text)
-        out, known = [], self.known
-        cuts = CUTS.findall(text)
-        for at in range(0, len(cuts), 100_000):
-            part = cuts[at:at + 100_000]
-            new = [c for c in set(part) if c not in known]
-            if len(known) + len(new) > self.kept:
-                known.clear()
-                new = list(set(part))
-            for c, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, part)))
-        return b"".join(out)
+    def _learn(self, new: list[str]) -> None:
+        """Encode new cuts."""
+        same, special = JOINED.fullmatch, self.special.search
+        chain = [c for c in new if same(c) and not special(c)]
+        alone = list(set(new).difference(chain))
+        for c, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.known[c] = np.array(e.ids, "<u4").tobytes()
+        for at in range(0, len(chain), self.joined):
+            part = chain[at:at + self.joined]
+            ids = np.array(self.fast.encode_ordinary("".join(part)), "<u4")
+            ends = np.cumsum(self.bytes_of[ids])
+            cuts = np.cumsum(np.fromiter([len(c.encode()) for c in part], np.int64, len(part)))
+            to = np.searchsorted(ends, cuts)
+            if (ends[to] != cuts).any():
+                raise AssertionError("words cross a cut")
+            flat, ends = ids.tobytes(), ((to + 1) * ID_BYTES).tolist()
+            self.known.update(zip(part, [flat[a:b] for a, b in zip([0, *ends], ends)], strict=True))  # noqa: B905
+
+    def _look_up(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are cut already."""
+        new = set().union(*texts).difference(self.known)
+        if len(self.known) + len(new) > self.kept:
+            self.known.clear()
+            new = set().union(*texts)
+        self._learn(list(new))
+        return [b"".join(map(self.known.__getitem__, cuts)) for cuts in texts]
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        out, some, n = [], [], 0
+        for text in texts:
+            if UNSURE.search(text):
+                out += self._look_up(some)
+                some, n = [], 0
+                out.append(self.whole(text))
+                continue
+            cuts = CUTS.findall(text)
+            if len(cuts) > self.at_once:   # one very long text, a part at a time
+                out += self._look_up(some)
+                some, n = [], 0
+                out.append(b"".join([self._look_up([cuts[i:i + self.at_once]])[0] for i in range(0, len(cuts), self.at_once)]))
+                continue
+            some.append(cuts)
+            n += len(cuts)
+            if n > self.at_once:
+                out += self._look_up(some)
+                some, n = [], 0
+        return out + self._look_up(some)
 
 
 _WORDS: dict[str, Words] = {}
@@ -197,11 +248,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, most_open: int =
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 if not checked:
                     text = min(texts, key=lambda t: (not t, len(t)))
-                    if encoded(text) != encoded.whole(text):
+                    if encoded.batch([text])[0] != encoded.whole(text):
                         raise AssertionError(f"the library reads {text!r} in another way")
                     checked = True
-                for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                    packer.add(doc, encoded(text) + closing)
+                for doc, ids in zip(part.column(0).to_pylist(), encoded.batch(texts), strict=True):
+                    packer.add(doc, ids + closing)
                 yield from rows(packer)
         if packer is not None:
             packer.finish()

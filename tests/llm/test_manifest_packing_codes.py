@@ -187,11 +187,10 @@ def test_cuts_are_encoded_as_in_the_whole_text():
     w = window_packing.Words(TOKENIZER)
     rng = random.Random(7)
     alphabet = list(" \n\t\r'") * 3 + list("aZ9!é😀　\xa0\x85\x1c\x1f\x00") + ["'s", "  ", "<|endoftext|>", " "]
-    for _ in range(2000):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(30)))
-        assert w(text) == w.whole(text), repr(text)
-    w.kept = 3
-    assert w("a b c d e f g a b") == w.whole("a b c d e f g a b")
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(2000)]
+    assert w.batch(texts) == [w.whole(t) for t in texts]
+    for w.kept, w.at_once, w.joined in ((3, 2, 2), (10, 1000, 3), (1000, 5, 1)):  # forgetting and long texts change nothing
+        assert w.batch(texts[:200] + ["a b c d e f g a b"]) == [w.whole(t) for t in texts[:200] + ["a b c d e f g a b"]]
 
 
 def test_packing_of_odd_rows(odd, nothing):
