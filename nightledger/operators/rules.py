@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.scalar import ts_lit, within
 from nightledger.operators.party import party_info
-from nightledger.operators.sequence import lagged
+from nightledger.operators.sequence import HOT_ROWS, lagged
 from nightledger.session import shared_dir
 
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
@@ -108,16 +108,22 @@ def fraud3_events(fact: DataFrame, terminals: DataFrame) -> DataFrame:
     """First time (over all history) each card changes city within one hour."""
     seq = lagged(trans_terminal_city(fact, terminals),
                  lags={"prev_dt": ("trans_date", 1), "prev_city": ("terminal_city", 1)},
-                 horizon="1 HOUR", tie_breakers=["ter_from", "terminal_city"])
+                 horizon="1 HOUR", tie_breakers=["ter_from", "terminal_city"], most=HOT_ROWS)
     hits = seq.where(within(F.col("trans_date"), F.col("prev_dt"), "1 HOUR")
                      & (F.col("terminal_city") != F.col("prev_city")))
     return hits.groupBy("card_num").agg(F.min("trans_date").alias("event_dt"))
 
 
-def fraud3(fact, terminals, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame:
-    """Rule 3 as reported: the all-time first event, kept if it is not older than W."""
-    # the report joins on the card, so operations without one need not be sorted
-    ev = fraud3_events(fact.where(F.col("card_num").isNotNull()), terminals).where(F.col("event_dt") >= _ts(w))
+def fraud3(fact, terminals, cards, accounts, clients, w: _dt.datetime, run_ts, events: DataFrame | None = None) -> DataFrame:
+    """Rule 3 as reported: the all-time first event, kept if it is not older than W.
+
+    ``events`` may be the maintained table of first events (see
+    :mod:`nightledger.operators.incremental`); by default all of ``fact`` is read.
+    """
+    if events is None:
+        # the report joins on the card, so operations without one need not be sorted
+        events = fraud3_events(fact.where(F.col("card_num").isNotNull()), terminals)
+    ev = events.where(F.col("event_dt") >= _ts(w))
     return report_rows(ev.join(party_info(cards, accounts, clients), "card_num"), "3", run_ts)
 
 
@@ -126,7 +132,7 @@ def fraud4_events(fact: DataFrame) -> DataFrame:
     seq = lagged(fact.select("trans_id", "trans_date", "card_num", "oper_result"),
                  lags={"prev_res": ("oper_result", 1), "prev_res2": ("oper_result", 2),
                        "prev_res3": ("oper_result", 3), "prev_dt": ("trans_date", 3)},
-                 horizon="20 MINUTES")
+                 horizon="20 MINUTES", most=HOT_ROWS)
     hit = ((F.col("oper_result") == "SUCCESS") & (F.col("prev_res") == "REJECT")
            & (F.col("prev_res2") == "REJECT") & (F.col("prev_res3") == "REJECT")
            & within(F.col("trans_date"), F.col("prev_dt"), "20 MINUTES", inclusive=False))
@@ -147,15 +153,16 @@ def fraud4(fact, cards, accounts, clients, w: _dt.datetime, run_ts) -> DataFrame
 
 
 def fraud_report(fact, terminals, cards, accounts, clients, blacklist, w, run_ts,
-                 span=None) -> DataFrame:
+                 span=None, events=None) -> DataFrame:
     """The day's report rows: rules 1-4 appended (duplicates kept).
 
-    ``span`` (one row per card) is computed once for rules 1 and 2 if not given.
+    ``span`` (one row per card) is computed once for rules 1 and 2 if not
+    given; ``events`` are the first events of rule 3, if they are maintained.
     """
     if span is None:
         shared_dir(fact.sparkSession)
         span = card_span(fact).checkpoint()
     return (fraud1(fact, cards, accounts, clients, blacklist, run_ts, span)
             .unionByName(fraud2(fact, cards, accounts, clients, run_ts, span))
-            .unionByName(fraud3(fact, terminals, cards, accounts, clients, w, run_ts))
+            .unionByName(fraud3(fact, terminals, cards, accounts, clients, w, run_ts, events))
             .unionByName(fraud4(fact, cards, accounts, clients, w, run_ts)))

@@ -14,6 +14,13 @@ plain window with the same mask).
 
 Cost: one exchange on ``(card, bucket)``, one sort, one Window node, plus
 ``horizon / bucket`` extra rows (4 % for 1 hour in 1-day buckets).
+
+A card that has very many rows in one bucket gets narrower buckets of its own
+(``hot_widths``): the width is halved until none of the card's buckets holds
+more than a given number of rows, and never below the horizon. Which cards
+those are is read off the rows whose hash falls below a threshold; a wrong
+estimate makes a task larger or smaller and changes no result, as results do
+not depend on the width.
 """
 
 from __future__ import annotations
@@ -24,6 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a card in one bucket from which its buckets are made narrower: what one task sorts in memory.
+HOT_ROWS = 500_000
+
 # horizon strings accepted by the rules -> timedelta
 _UNITS = {"SECOND": "seconds", "SECONDS": "seconds", "MINUTE": "minutes", "MINUTES": "minutes",
           "HOUR": "hours", "HOURS": "hours", "DAY": "days", "DAYS": "days"}
@@ -52,6 +62,47 @@ def _wall_micros(t: Column) -> Column:
     return days * 86_400_000_000 + clock + secs
 
 
+def bucket_width(bucket: str | _dt.timedelta) -> int:
+    """Microseconds of a bucket."""
+    return _micros(to_timedelta(bucket))
+
+
+def bucket_start(t: Column, width: int) -> Column:
+    """The start of the bucket of ``width`` microseconds that a zone-free time lies in."""
+    day = t.cast("date").cast("timestamp_ntz")
+    if width % 86_400_000_000 == 0 and width > 86_400_000_000:
+        back = F.pmod(F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")), F.lit(width // 86_400_000_000))
+        return day - F.make_dt_interval(back.cast("int"))
+    if 86_400_000_000 % width:
+        raise ValueError("a bucket is a whole number of days or divides one")
+    within_day = F.pmod(_wall_micros(t), F.lit(86_400_000_000))
+    secs = (F.floor(within_day / width) * width).cast("decimal(20,6)") / 1_000_000
+    return day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+
+
+def hot_widths(df: DataFrame, key: str, time: str, id_col: str, bucket: int, horizon: int, most: int, share: int = 64) -> DataFrame:
+    """(key, width) in microseconds for keys with over ``most`` rows in a bucket.
+
+    Counts come from about one in ``share`` rows, chosen by a hash of time and
+    id and thus the same at every evaluation; only keys that are that frequent
+    in it leave the aggregation.
+    """
+    least = max(1, most // share)
+    picked = df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(time, id_col), F.lit(share)) == 0))
+    levels = 0
+    while bucket >> (levels + 1) >= horizon and not (bucket >> levels) % 2:
+        levels += 1
+    fine = bucket >> levels
+    slots = picked.select(key, F.floor(_wall_micros(F.col(time)) / F.lit(fine)).alias("_slot")).groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    # how many rows the fullest bucket of each width holds: width bucket >> level, level 0 the widest
+    at = slots.select(key, "_n", F.posexplode(F.array(*[F.floor(F.col("_slot") / F.lit(1 << (levels - j))) for j in range(levels + 1)])).alias("_level", "_w"))
+    full = at.groupBy(key, "_level", "_w").agg(F.sum("_n").alias("_n")).where(F.col("_n") > least)
+    # levels that are too full for a key; a narrower bucket is too full only if all wider ones are
+    worst = full.groupBy(key).agg(F.max("_level").alias("_worst"))
+    level = F.least(F.col("_worst") + 1, F.lit(levels))
+    return worst.select(F.col(key).alias("_hot"), F.element_at(F.array(*[F.lit(bucket >> j) for j in range(levels + 1)]), level + 1).alias("_width"))
+
+
 def trans_order(time: str = "trans_date", id_col: str = "trans_id",
                 tie_breakers: list[str] | tuple[str, ...] = ()) -> list[Column]:
     """Total order used for every LAG: time (NULLs last), numeric id, id, extra keys.
@@ -71,13 +122,14 @@ def with_order_id(df: DataFrame, id_col: str = "trans_id") -> DataFrame:
 def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.timedelta,
            key: str = "card_num", time: str = "trans_date", id_col: str = "trans_id",
            tie_breakers: list[str] | tuple[str, ...] = (),
-           bucket: str | _dt.timedelta | None = "1 DAY") -> DataFrame:
+           bucket: str | _dt.timedelta | None = "1 DAY", most: int | None = None) -> DataFrame:
     """Add ``name = LAG(col, k)`` for each ``name: (col, k)``; lags older than ``horizon`` are NULL.
 
     ``bucket=None`` uses a plain window over the whole card (exact, but one
     task per card); any bucket at least as wide as ``horizon`` gives the
-    same rows. All lags share one window specification, so the plan has one
-    exchange, one sort and one Window node.
+    same rows. A key with more than about ``most`` rows in a bucket gets
+    narrower ones (without a ``most`` none does). All lags share one window
+    specification, so the plan has one exchange, one sort and one Window node.
     """
     h = to_timedelta(horizon)
     t = F.col(time)
@@ -92,8 +144,13 @@ def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.t
             raise ValueError("bucket must be at least as wide as the horizon")
         bm, hm = _micros(b), _micros(h)
         tm = _wall_micros(t)
-        own = F.floor(tm / F.lit(bm))
-        last = F.floor((tm + F.lit(hm)) / F.lit(bm))
+        wide = F.lit(bm)
+        if most is not None:
+            hot = hot_widths(df, key, time, id_col, bm, hm, most)
+            x = x.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
+            wide = F.coalesce("_width", F.lit(bm))
+        own = F.floor(tm / wide)
+        last = F.floor((tm + F.lit(hm)) / wide)
         # a row belongs to its own bucket and is context for the next one when
         # it lies within the horizon of that bucket's start (NULL time: own only)
         x = (x.withColumn("_own", own)
@@ -104,7 +161,7 @@ def lagged(df: DataFrame, lags: dict[str, tuple[str, int]], horizon: str | _dt.t
                  *[F.lag(t, k).over(w).alias(f"_lt{k}") for k in offsets],
                  *[F.lag(F.col(col), k).over(w).alias(name) for name, (col, k) in lags.items()])
     if bucket is not None:
-        x = x.where(F.col("_b").eqNullSafe(F.col("_own"))).drop("_b", "_own")
+        x = x.where(F.col("_b").eqNullSafe(F.col("_own"))).drop("_b", "_own", "_width")
     floor = t - F.expr(f"INTERVAL {int(h.total_seconds())} SECONDS")
     masked = {name: F.when(F.col(f"_lt{k}") >= floor, F.col(name)).alias(name)
               for name, (_, k) in lags.items()}
