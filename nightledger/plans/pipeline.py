@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.operators import cdc, cleaning, meta, rules, scd2
+from nightledger.operators import cdc, cleaning, incremental, meta, rules, scd2
+from nightledger.plans import ledger
 from nightledger.plans.store import Warehouse
 from nightledger.schemas import DIMENSIONS, HIST_TABLES, TERMINALS_HIST
 from nightledger.sources.files import (TERMINALS_STEM, read_blacklist, read_terminals,
@@ -40,10 +41,10 @@ class DayInputs:
 
 def file_date(path: str, stem: str = TERMINALS_STEM) -> _dt.datetime:
     """Business date from ``<stem>_DDMMYYYY`` in a file name."""
-    m = re.search(rf"{stem}_(\d{{2}})(\d{{2}})(\d{{4}})", path)
-    if not m:
+    found = re.findall(rf"(?i){stem}_(\d{{2}})(\d{{2}})(\d{{4}})", path)
+    if not found:
         raise ValueError(f"no business date in {path}")
-    d, mo, y = (int(x) for x in m.groups())
+    d, mo, y = (int(x) for x in found[-1])  # the file's own name before its folders
     return _dt.datetime(y, mo, d)
 
 
@@ -59,14 +60,21 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
             run: int | None = None) -> DataFrame:
     """Process one export; returns the report rows this run appended.
 
-    ``run`` may be the last committed run, which is then replaced; earlier
-    runs are refused, as later ones are built on them.
+    An export that is loaded already changes nothing and returns the rows of
+    the run that loaded it; see :mod:`nightledger.plans.ledger` for what is
+    refused. ``run`` may be the last committed run, which is then replaced;
+    earlier runs are refused, as later ones are built on them.
     """
     spark, last = wh.spark, wh.committed_run()
+    day = file_date(inp.terminals)
+    if run is not None and last is not None and run < last:
+        wh.begin(run)  # raises
+    loaded = ledger.admit(wh, inp, day, replacing=run)
+    if loaded is not None:
+        return wh.report(loaded)
     run = run or (last or 0) + 1
     prev = run - 1 if run > 1 else None
     attempt = wh.begin(run)
-    day = file_date(inp.terminals)
 
     # control table: tiny (one row per history table), read once on the driver
     m = wh.read("meta_loading", prev) if prev else meta.meta_seed(spark)
@@ -91,6 +99,7 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
     writes = [
         lambda: wh.write(cleaning.clean_transactions(staged["transactions"]), "fact_transactions", attempt),
         lambda: wh.stage(cleaning.rejects(staged["transactions"]), "rejects", attempt),
+        lambda: wh.write(ledger.fingerprints(spark, inp, day), "export_files", attempt),
         lambda: wh.write(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)), "fact_blacklist", attempt),
     ]
     for d in DIMS:
@@ -102,26 +111,31 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
     writes.append(lambda m=m: wh.write(m, "meta_loading", attempt))
     _run_all(writes)
 
-    # per-card first/last operation, maintained incrementally for rules 1 and 2
+    # state tables of the rules, each brought up to date from the run's changes
     fact = wh.read("fact_transactions", prev or 0, attempt)
-    today = spark.read.parquet(f"{wh.root}/fact_transactions/attempt={attempt}")
+    today = wh.read("fact_transactions", 0, attempt)
+    t = {d: wh.read(f"dim_{d}_hist", attempt=attempt) for d in DIMS}
     span = (wh.before("card_span", prev).unionByName(rules.card_span(today))
             .groupBy("card_num").agg(F.min("first_dt").alias("first_dt"),
                                      F.max("last_dt").alias("last_dt")))
-    wh.write(span, "card_span", attempt)
+    days = wh.before("terminal_days", prev).unionByName(incremental.terminal_days(today)).distinct()
+    _run_all([lambda: wh.write(span, "card_span", attempt), lambda: wh.write(days, "terminal_days", attempt)])
+    fresh = incremental.new_versions(hist["terminals"], t["terminals"])
+    wh.write(incremental.fraud3_state(wh.before("rule3_events", prev), fact, today, t["terminals"], fresh,
+                                      wh.read("terminal_days", attempt=attempt)), "rule3_events", attempt)
 
     # report from the published tables: transactions of the runs before and of this one
-    t = {d: wh.read(f"dim_{d}_hist", attempt=attempt) for d in DIMS}
     report = rules.fraud_report(fact, t["terminals"], t["cards"], t["accounts"], t["clients"],
                                 wh.read("fact_blacklist", attempt=attempt), day, run_ts,
-                                span=wh.read("card_span", attempt=attempt))
+                                span=wh.read("card_span", attempt=attempt),
+                                events=wh.read("rule3_events", attempt=attempt))
     wh.write(report, "rep_fraud", attempt)
     wh.commit(attempt, day, run_ts)
     return wh.read("rep_fraud", 0, attempt)
 
 
 def replay(wh: Warehouse, days: list[tuple[DayInputs, _dt.datetime]]) -> DataFrame:
-    """Run several exports in business-date order; returns the whole report."""
+    """Run several exports in business-date order; returns the whole report. Those already loaded are passed over."""
     for inp, run_ts in sorted(days, key=lambda x: file_date(x[0].terminals)):
         run_day(wh, inp, run_ts)
     return wh.read("rep_fraud")

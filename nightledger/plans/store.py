@@ -3,12 +3,14 @@
 * Every execution of a run is an attempt with folders of its own,
   ``<table>/attempt=<run>-<id>``: nothing is overwritten, and a plan never
   writes a path that it reads.
-* An attempt counts when its one-row marker lands in ``_runs``, written last.
-  Of several attempts of a run the one committed last counts. Readers open
-  only folders of counting attempts, so what a crashed attempt has left is
-  never seen.
+* An attempt counts when its one-line marker lands in ``_runs``, written last.
+  A marker is named after its run and how many markers the run had when the
+  attempt began, and is created only if no file of that name exists: of two
+  attempts that began side by side the second to end fails. Of several markers
+  of a run the one begun last counts. Readers open only folders of counting
+  attempts, so what a crashed attempt has left is never seen.
 * State tables (history, control table, blacklist, first and last operation
-  per card) are written whole; the transactions and the report accumulate: a
+  per card, first event of rule 3 per card, days of use per terminal) are written whole; the transactions and the report accumulate: a
   read takes the folders of all counting runs up to the one asked for.
 * The transactions of an attempt are partitioned by operation day, so a
   filter on ``op_date`` opens only those days.
@@ -19,8 +21,11 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +43,36 @@ VERSIONED = {
     "card_span": T.StructType([T.StructField("card_num", T.StringType()),
                                T.StructField("first_dt", T.TimestampNTZType()),
                                T.StructField("last_dt", T.TimestampNTZType())]),
+    "rule3_events": T.StructType([T.StructField("card_num", T.StringType()), T.StructField("event_dt", T.TimestampNTZType())]),
+    "terminal_days": T.StructType([T.StructField("terminal", T.StringType()), T.StructField("op_date", T.DateType())]),
 }
 #: Accumulating tables, with the expression of the day they are partitioned by.
-ACCUMULATING = {"fact_transactions": (S.FACT_TRANSACTIONS, "trans_date"), "rep_fraud": (S.REP_FRAUD, None)}
+ACCUMULATING = {"fact_transactions": (S.FACT_TRANSACTIONS, "trans_date"), "rep_fraud": (S.REP_FRAUD, None),
+                "export_files": (S.EXPORT_FILES, None)}
 RUNS = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("attempt", T.StringType()),
                      T.StructField("business_date", T.TimestampNTZType()), T.StructField("run_ts", T.TimestampNTZType()),
                      T.StructField("committed_at", T.TimestampNTZType())])
 
 
+class AlreadyCommitted(RuntimeError):
+    """Another attempt of the run landed its marker first."""
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file unless it exists; False if it does. Whoever creates it first wins where the file system says so (HDFS does)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -55,12 +82,12 @@ class Warehouse:
     def runs(self) -> DataFrame:
         """Counting attempts, one row a run."""
         try:
-            marks = self.spark.read.schema(RUNS).parquet(f"{self.root}/_runs")
+            marks = self.spark.read.schema(RUNS).option("mode", "FAILFAST").json(f"{self.root}/_runs")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise  # unreadable is not empty
             return self.spark.createDataFrame([], RUNS)
-        last = F.max_by(F.struct("attempt", "business_date", "run_ts", "committed_at"), "committed_at").alias("m")
+        last = F.max(F.struct("attempt", "business_date", "run_ts", "committed_at")).alias("m")  # attempts sort by run and marker
         return marks.groupBy("run").agg(last).select("run", "m.*")
 
     def _attempts(self, upto: int | None = None) -> dict[int, str]:
@@ -76,12 +103,25 @@ class Warehouse:
         last = self.committed_run()
         if last is not None and run < last:
             raise ValueError(f"run {run} cannot be repeated: run {last} is built on it")
-        return f"{run:06d}-{uuid.uuid4().hex[:12]}"
+        return f"{run:06d}-{self._markers(run):03d}-{uuid.uuid4().hex[:12]}"
 
-    def commit(self, attempt: str, business_date, run_ts) -> None:
+    def _markers(self, run: int) -> int:
+        """How many markers a run has, those that were never finished too."""
+        try:
+            files = self.spark.read.format("binaryFile").load(f"{self.root}/_runs").select("path").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+        return sum(bool(re.search(rf"/{run:06d}-\d+\.json$", f.path)) for f in files)
+
+    def commit(self, attempt: str, business_date: _dt.datetime, run_ts: _dt.datetime) -> None:
+        """Land the marker; raises :class:`AlreadyCommitted` if another attempt has done so since this one began."""
+        run, marker, _ = attempt.split("-")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (self.spark.createDataFrame([(int(attempt[:6]), attempt, business_date, run_ts, now)], RUNS).coalesce(1)
-         .write.mode("append").parquet(f"{self.root}/_runs"))
+        row = dict(zip(RUNS.names, (int(run), attempt, *(t.isoformat() for t in (business_date, run_ts, now))), strict=True))
+        if not create_new(self.spark, f"{self.root}/_runs/{run}-{marker}.json", json.dumps(row) + "\n"):
+            raise AlreadyCommitted(f"run {int(run)}: another attempt was committed first, {attempt} does not count")
 
     # ---- tables ----
     def write(self, df: DataFrame, table: str, attempt: str) -> None:
@@ -116,6 +156,10 @@ class Warehouse:
         return (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}")
                 .parquet(*[f"{self.root}/{table}/attempt={a}" for a in folders]).select(*full.names))
 
+    def report(self, run: int) -> DataFrame:
+        """The report rows that a committed run appended."""
+        return self.read("rep_fraud", 0, self._attempts()[run])
+
     def empty(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], VERSIONED.get(table) or ACCUMULATING[table][0])
 

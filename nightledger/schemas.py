@@ -31,8 +31,8 @@ HIST_TABLES = (ACCOUNTS_HIST, CARDS_HIST, CLIENTS_HIST, TERMINALS_HIST)
 
 
 def _struct(spec: str) -> T.StructType:
-    """'a S, b T, c D' -> StructType (S string, T timestamp_ntz, D decimal(30,2))."""
-    kinds = {"S": S, "T": TS, "D": AMT}
+    """'a S, b T, c D, d L' -> StructType (S string, T timestamp_ntz, D decimal(30,2), L bigint)."""
+    kinds = {"S": S, "T": TS, "D": AMT, "L": T.LongType()}
     fields = []
     for part in spec.split(","):
         name, kind = part.split()
@@ -72,6 +72,7 @@ FACT_TRANSACTIONS = _struct(
     "trans_id S, trans_date T, card_num S, oper_type S, amt D, oper_result S, terminal S")
 REP_FRAUD = _struct("event_dt T, passport S, fio S, phone S, event_type S, report_dt T")
 META_LOADING = _struct("dbname S, tablename S, last_update T")
+EXPORT_FILES = _struct("business_date T, kind S, file S, bytes L, lines L, digest S")
 
 # business keys and tracked attributes of each history dimension
 DIMENSIONS = {

@@ -40,8 +40,11 @@ def unread_files(spark: SparkSession, path: str) -> None:
 
 
 def business_date(path: Column, stem: str) -> Column:
-    """``<stem>_DDMMYYYY`` anywhere in the path -> timestamp_ntz (NULL if absent)."""
-    token = F.regexp_extract(path, rf"{stem}_(\d{{8}})", 1)
+    """``<stem>_DDMMYYYY`` in the path, in any case -> timestamp_ntz (NULL if absent).
+
+    The last one counts: a file's own name before the folders it lies in.
+    """
+    token = F.regexp_extract(path, rf"(?i).*{stem}_(\d{{8}})", 1)
     return F.when(token != "", parse_ddmmyyyy(token))
 
 
