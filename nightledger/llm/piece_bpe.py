@@ -1,10 +1,12 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
 A text is normalized (a space becomes U+2581, one is put in front), cut into
-chunks, and each chunk is merged by an agenda: a heap of adjacent symbol pairs
-ordered by the score of their union, ties from the left. Popping the best pair
-merges it and offers the two pairs it now takes part in; pairs whose symbols
-have changed since are skipped. Characters without a piece become byte pieces.
+chunks, and each chunk is merged by an agenda: adjacent symbol pairs ordered by
+the score of their union, ties from the left. Taking the best pair merges it
+and offers the two pairs it now takes part in. The agendas of many short chunks
+are the rows of one matrix: a step takes the best pair of every row. A long
+chunk has a heap; pairs whose symbols have changed since are skipped.
+Characters without a piece become byte pieces.
 
 Chunks: no piece of the vocabulary has a U+2581 behind another character, and
 none of several characters holds a line feed, so no merge can cross from a
@@ -13,9 +15,12 @@ the model is loaded; chunks are then independent and their results are kept
 in a bounded table.
 
 Each Arrow batch is checked against the sentencepiece library: every chunk
-that the worker meets for the first time, and one whole text with its decoded
-form. A difference raises. Within a chunk, two characters that no piece has
-side by side bound two parts that merge on their own.
+that the worker meets for the first time (many to a call, a line each, as line
+feeds bound chunks), and one whole text with its decoded form. A difference
+raises. Within a chunk, two characters that no piece has side by side bound two
+parts that merge on their own. A chunk's decoded form is remembered beside its
+ids: its byte pieces are whole characters, so a text's decoded form is that of
+its chunks, joined.
 
 Defined results: null is read as an empty text; an empty text has no tokens;
 U+2581 in a text comes back as a space, as in the library.
@@ -37,6 +42,8 @@ SPACE = "▁"
 CHUNKS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 PROBES = ("", " ", "a", " a  b ", "½ ﬁ", "Á\t\u3000x", "\n a\r\n", "\x00\x7f\ufeff", f"a{SPACE}b")
 SHORT = 48  # symbols up to which a plain list serves as agenda
+CHECKED = 500  # chunks in one call of the library
+AT_ONCE = 100_000  # chunks of texts that are encoded together
 
 
 class Codec:
@@ -54,7 +61,8 @@ class Codec:
         self.ids = {p: chr(i) for i, p in enumerate(pieces) if i not in special and chr(i) not in self.byte_of}
         self.scores = {p: lib.get_score(ord(c)) for p, c in self.ids.items()}
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.pieces, self.cache, self.parts = {chr(i): p for i, p in enumerate(pieces)}, {}, {}
+        self.pieces, self.parts = {chr(i): p for i, p in enumerate(pieces)}, {}
+        self.cache, self.read = {}, {}   # chunk -> ids, and -> decoded form
         if any(lib.is_unused(i) for i in range(len(pieces))) or len(self.byte) != 256:
             raise ValueError("the model has unused pieces or no byte fallback")
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
@@ -62,6 +70,93 @@ class Codec:
         for p in PROBES:
             if lib.normalize(p) != self.normalized(p) or self.encode(p) != lib.encode(p):
                 raise ValueError("the model normalizes texts in another way")
+        self._tables()
+
+    def _tables(self) -> None:
+        """Arrays of the matrix: the symbol of each character, and for each pair of symbols that make a piece the piece and its score."""
+        n = self.library.vocab_size()
+        self.symbol = np.arange(0x110000, dtype=np.int64) + n   # a character without a piece is a symbol beyond the vocabulary
+        pairs = {}
+        for p, c in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = ord(c)
+            for i in range(1, len(p)):
+                left, right = self.ids.get(p[:i]), self.ids.get(p[i:])
+                if left and right:
+                    pairs[ord(left) * n + ord(right)] = ord(c)
+        if any(self.ids.get(x) is None for p in self.ids for x in p):
+            raise ValueError("the model has pieces of characters that are no pieces")
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        self.pair_piece = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+        self.piece_score = np.full(n, -np.inf)
+        for p, c in self.ids.items():
+            self.piece_score[ord(c)] = self.scores[p]
+
+    def _unions(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece, score) of each pair of symbols; -inf where they make none. Symbols below 0 are none."""
+        n = len(self.piece_score)
+        key = np.where((left >= 0) & (right >= 0) & (left < n) & (right < n), left * n + right, -1)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        piece = self.pair_piece[at]
+        return piece, np.where(self.pair_keys[at] == key, self.piece_score[piece], -np.inf)
+
+    def merged_many(self, chunks: list[str]) -> list[str]:
+        """Ids of each chunk; short ones by rows of a matrix, those of like length together."""
+        out: list[str | None] = [None] * len(chunks)
+        of_width: dict[int, list[int]] = {}
+        for i, c in enumerate(chunks):
+            of_width.setdefault(-(-len(c) // 8) * 8 if len(c) <= SHORT else 0, []).append(i)
+        for width, rows in of_width.items():
+            for at in range(0, len(rows), 4096):
+                some = rows[at:at + 4096]
+                made = self._by_rows([chunks[i] for i in some], width) if width else [self.merged(chunks[i]) for i in some]
+                for i, ids in zip(some, made, strict=True):
+                    out[i] = ids
+        return out
+
+    def _by_rows(self, chunks: list[str], width: int) -> list[str]:
+        """The agendas of all chunks, a step of each at a time."""
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        place = np.arange(width)
+        symbols = np.full((len(chunks), width), -1, np.int64)
+        symbols[place[None] < lengths[:, None]] = self.symbol[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")]
+        if width < 2:
+            return self._said(symbols)
+        union, score = self._unions(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(chunks))       # rows with pairs left, and their agendas
+        now = symbols
+        while True:
+            best = score.argmax(axis=1)     # the first of equal scores
+            go = score[np.arange(len(rows)), best] > -np.inf
+            if not go.all():
+                symbols[rows[~go]] = now[~go]
+                rows, now, union, score, best = rows[go], now[go], union[go], score[go], best[go]
+            if not len(rows):
+                return self._said(symbols)
+            each = np.arange(len(rows))
+            behind = place[None, :-1] > best[:, None]
+            now[each, best] = union[each, best]
+            now[:, :-1][behind] = now[:, 1:][behind]
+            now[:, -1] = -1
+            behind = behind[:, :-1]
+            union[:, :-1][behind] = union[:, 1:][behind]
+            score[:, :-1][behind] = score[:, 1:][behind]
+            score[:, -1] = -np.inf
+            for i in (best - 1, best):      # the two pairs that the new symbol is in
+                ok = (i >= 0) & (i < width - 1)
+                r, i = each[ok], i[ok]
+                union[r, i], score[r, i] = self._unions(now[r, i], now[r, i + 1])
+
+    def _said(self, symbols: np.ndarray) -> list[str]:
+        """Rows of symbols as strings of ids."""
+        n, held = len(self.piece_score), symbols >= 0
+        flat, ends = symbols[held], np.cumsum(held.sum(axis=1)).tolist()
+        if (flat < n).all():
+            text = flat.astype("<u4").tobytes().decode("utf-32-le")
+            return [text[a:b] for a, b in zip([0, *ends], ends)]  # noqa: B905
+        byte = self.byte
+        one = [chr(x) if x < n else "".join([byte[b] for b in chr(x - n).encode("utf-8", "surrogatepass")]) for x in flat.tolist()]
+        return ["".join(one[a:b]) for a, b in zip([0, *ends], ends)]  # noqa: B905
 
     @staticmethod
     def normalized(text: str) -> str:
@@ -130,17 +225,25 @@ class Codec:
             offer(i, after[i])
         return [s for s in symbols if s]
 
-    def learn(self, keys: list[str]) -> dict[str, str]:
-        """Encode new chunks and hold them against the library."""
-        new = dict(zip(keys, map(self.merged, keys), strict=True))
-        # behind a line feed a chunk stands alone: the front piece and the line feed go
-        for (c, own), theirs in zip(new.items(), self.library.encode(["\n" + c.replace(SPACE, " ") for c in keys], num_threads=1), strict=True):
-            if list(map(ord, own)) != theirs[2:]:
-                raise AssertionError(f"the library encodes {c!r} as {theirs[2:]}, not {list(map(ord, own))}")
+    def learn(self, keys: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """Encode and decode new chunks and hold them against the library."""
+        new = self.merged_many(keys)
+        feed = self.byte[10]
+        for i in range(0, len(keys), CHECKED):
+            some, own = keys[i:i + CHECKED], new[i:i + CHECKED]
+            # behind a line feed a chunk stands alone: the front piece and the line feed go
+            theirs = self.library.encode("\n" + "\n".join(some).replace(SPACE, " "))[2:]
+            if list(map(ord, feed.join(own))) != theirs:
+                for c, ids in zip(some, own, strict=True):
+                    if list(map(ord, ids)) != (one := self.library.encode("\n" + c.replace(SPACE, " "))[2:]):
+                        raise AssertionError(f"the library encodes {c!r} as {one}, not {list(map(ord, ids))}")
+                raise AssertionError("the library does not part chunks at line feeds")
         if len(self.cache) + len(new) > self.kept:
-            self.cache = {}
-        self.cache.update(new)
-        return new
+            self.cache, self.read = {}, {}
+        ids, read = dict(zip(keys, new, strict=True)), dict(zip(keys, map(self._joined, new), strict=True))
+        self.cache.update(ids)
+        self.read.update(read)
+        return ids, read
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -159,35 +262,63 @@ class Codec:
             out += words
         return out if text else []
 
+    def known(self, chunks: set[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """Tables (ids and decoded forms) that hold all of ``chunks``."""
+        ids, read = self.cache, self.read
+        new = chunks.difference(ids)
+        if new:
+            fresh, decoded = self.learn(sorted(new))
+            if self.cache is not ids:  # forgotten in between
+                old = chunks - new
+                return fresh | {c: ids[c] for c in old}, decoded | {c: read[c] for c in old}
+        return ids, read
+
     def encode_batch(self, texts: list[str]) -> list[str]:
-        cut = list(map(self.chunks, texts))
-        out = []
-        for chunks in cut:
-            got = []
-            for i in range(0, len(chunks), 100_000):  # a text may have more chunks than are remembered
-                part = chunks[i:i + 100_000]
-                known = self.cache
-                new = set(part).difference(known)
-                if new:
-                    fresh = self.learn(sorted(new))
-                    if self.cache is not known:  # forgotten in between
-                        fresh |= {c: known[c] for c in set(part) - new}
-                        known = fresh
-                got.append("".join(map(known.__getitem__, part)))
-            out.append("".join(got))
+        return [ids for ids, _ in self.both(texts)]
+
+    def both(self, texts: list[str]) -> list[tuple[str, str]]:
+        """(ids, decoded form) of each text; new chunks of many texts are learned together."""
+        out, some, n = [], [], 0
+
+        def done():
+            ids, read = self.known(set().union(*some))
+            out.extend([("".join(map(ids.__getitem__, c)), "".join(map(read.__getitem__, c)).removeprefix(" ")) for c in some])
+            some.clear()
+        for text in texts:
+            chunks = self.chunks(text)
+            if len(chunks) > AT_ONCE:  # a text may have more chunks than are remembered
+                parts = [chunks[i:i + AT_ONCE] for i in range(0, len(chunks), AT_ONCE)]
+                done()
+                said = []
+                for part in parts:
+                    ids, read = self.known(set(part))
+                    said.append(("".join(map(ids.__getitem__, part)), "".join(map(read.__getitem__, part))))
+                out.append(("".join(i for i, _ in said), "".join(d for _, d in said).removeprefix(" ")))
+                n = 0
+                continue
+            some.append(chunks)
+            n += len(chunks)
+            if n > AT_ONCE:
+                done()
+                n = 0
+        done()
         return out
 
     def encode(self, text: str) -> list[int]:
         return [ord(x) for c in CHUNKS.findall(self.normalized(text)) for x in self.merged(c)]
 
-    def decode(self, ids: str) -> str:
-        """Pieces joined, byte pieces as UTF-8, U+2581 as spaces without the one in front."""
+    def _joined(self, ids: str) -> str:
+        """Pieces joined, byte pieces as UTF-8, U+2581 as spaces."""
         byte_of, pieces = self.byte_of, self.pieces
         if byte_of.keys().isdisjoint(ids):
             text = "".join(map(pieces.__getitem__, ids))
         else:
             text = b"".join([bytes((byte_of[i],)) if i in byte_of else pieces[i].encode() for i in ids]).decode("utf-8", "replace")
-        return text.removeprefix(SPACE).replace(SPACE, " ")
+        return text.replace(SPACE, " ")
+
+    def decode(self, ids: str) -> str:
+        """The text of any ids: without the space in front."""
+        return self._joined(ids).removeprefix(" ")
 
 
 _CODECS: dict[str, Codec] = {}
@@ -211,8 +342,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
             for at in range(0, batch.num_rows, 256):  # a bounded number of texts at a time
                 part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = c.encode_batch(texts)
-                decoded = [c.decode(x) for x in ids]
+                ids, decoded = zip(*c.both(texts), strict=True)
                 if not at:
                     whole = min(range(len(texts)), key=lambda i: (not texts[i], len(texts[i])))
                     theirs = c.library.encode(texts[whole])

@@ -147,6 +147,18 @@ def test_codec_forgets_without_harm():
     assert list(map(ord, codec.encode_batch([text, text])[1])) == codec.library.encode(text)
 
 
+def test_rows_of_agendas_equal_single_ones():
+    codec, rng = piece_bpe.codec(tokenizer_path()), random.Random(9)
+    letters = list("abcdeéß\n\x00½😀中.,0▁▁the") + ["▁the", "ing"]
+    chunks = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 70))) for _ in range(3000)]
+    assert codec.merged_many(chunks) == [codec.merged(c) for c in chunks]
+    texts = [" ".join(chunks[i:i + 7]) for i in range(0, 700, 7)] + [""]
+    for codec.kept, piece_bpe.AT_ONCE in ((350_000, 100_000), (20, 100_000), (350_000, 3)):
+        for text, (ids, decoded) in zip(texts, codec.both(texts), strict=True):
+            assert list(map(ord, ids)) == codec.library.encode(text) and decoded == codec.library.decode(list(map(ord, ids)))
+    piece_bpe.AT_ONCE = 100_000
+
+
 def test_codes_switch_inside_a_text():
     rng = random.Random(5)
     words = {"en": ["the", "house", "which", "thing", "with", "where"], "de": ["der", "hund", "nicht", "schule", "und", "einen"]}
