@@ -34,6 +34,13 @@ def held_out(doc_id: str, mod: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == fold, F.lit(False))
 
 
+def below(share: float, seed: int, *key):
+    """True for that share of all rows, by a seeded hash of ``key``: a 64-bit threshold, so that it is exact on any table."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.lit(seed), *key) < F.lit(int(share * 2 ** 64) - 2 ** 63)
+
+
 def bounded_sample(rows: DataFrame, key: list[str], most: int, seed: int) -> DataFrame:
     """About ``most`` rows of all, never above twice that: those with the least seeded hashes of ``key``.
 
@@ -41,8 +48,7 @@ def bounded_sample(rows: DataFrame, key: list[str], most: int, seed: int) -> Dat
     share of the sample and not ``most`` rows of its own.
     """
     n = rows.count()
-    place = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000_000))
-    return rows.where(place < int(1_000_000_000 * min(1.0, most / max(n, 1)))).limit(2 * most)
+    return rows.where(below(most / max(n, 1), seed, *key)).orderBy(F.xxhash64(F.lit(seed), *key)).limit(2 * most)
 
 
 class WordHashes(dict):

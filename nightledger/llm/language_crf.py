@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import mixed, ready
+from nightledger.llm.common import below, mixed, ready
 
 PER_LANG, SAMPLE_CHARS = 300, 20_000
 BITS, EPOCHS, LENGTH, BATCH, RATE = 17, 2, 64, 128, 0.2   # feature table, passes, sequence length, sequences a step
@@ -233,10 +233,9 @@ def fit(docs: DataFrame, seed: int = 7) -> dict | None:
         return None
     # twice the share that gives PER_LANG rows, so that few rows miss the limit
     chosen = F.lit(False)
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
     for lang, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (place < int(1_000_000 * min(1.0, PER_LANG / n))))
-    sample = (rows.where(chosen & (F.length("text") <= SAMPLE_CHARS)).select("text", "lang")
+        chosen = chosen | ((F.col("lang") == lang) & below(PER_LANG / n, seed, "doc_id"))
+    sample = (rows.where(chosen & (F.length("text") <= SAMPLE_CHARS)).orderBy(F.xxhash64(F.lit(seed), "doc_id", "text")).select("text", "lang")
               .limit(2 * PER_LANG * len(counts)).collect())
     return train([(r["text"], r["lang"]) for r in sample], seed)
 

@@ -212,14 +212,13 @@ def detect(texts: list[str], model: dict | None) -> list[list[tuple[str, int, in
         return out
     feats, clamp, chain, skip, where = [], [], [], [], []
     for d, (text, b) in enumerate(zip(texts, base, strict=True)):
-        if b:  # a label reaches free tokens from a clamped one; without any, nothing is known to repeat
-            t, y, f, k = nodes(text, b)
-            c, s = links(t, k, text, len(clamp))
-            feats += f
-            clamp += y
-            chain += c
-            skip += s
-            where += [(d, *span) for span in t]
+        t, y, f, k = nodes(text, b)  # documents without a base span too: a token's own features may tell
+        c, s = links(t, k, text, len(clamp))
+        feats += f
+        clamp += y
+        chain += c
+        skip += s
+        where += [(d, *span) for span in t]
     if not where:
         return out
     pairs = [np.array(v, int).reshape(-1, 2) for v in (chain, skip)]

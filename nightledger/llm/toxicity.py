@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import ready
+from nightledger.llm.common import below, ready
 
 PER_CLASS, SAMPLE_CHARS = 3000, 20_000
 BITS, STEPS, RATE, L2, PENALTY = 18, 800, 0.3, 1e-6, 4.0
@@ -156,13 +156,12 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", seed: int = 7) -> dict | None:
     """A model from rows (doc_id, text) joined to labels (doc_id, label)."""
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1))
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000))
     counts = {r["y"]: r["n"] for r in given.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = F.lit(False)
     for y, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("y") == y) & (place < int(1_000_000 * min(1.0, PER_CLASS / n))))
+        chosen = chosen | ((F.col("y") == y) & below(PER_CLASS / n, seed, "doc_id"))
     # at most about PER_CLASS rows a class, so ids can be listed: the text table is then read once, without a shuffle
-    ids = [(r["doc_id"], r["y"]) for r in given.where(chosen).limit(3 * PER_CLASS).collect()]
+    ids = [(r["doc_id"], r["y"]) for r in given.where(chosen).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "y").limit(3 * PER_CLASS).collect()]
     by: dict[int, list[int]] = {}
     for i, y in ids:
         by.setdefault(i, []).append(y)
