@@ -1,11 +1,16 @@
 """Quality rules as a short-circuit cascade.
 
-A rule rejects a text; its cost is what its expression has to visit, and
-both its cost and its selectivity are estimated on a sample of the rows. The
-rules are then ordered by rejections per cost, each among the rows that the
-rules before it let pass, and become one conditional expression, so a rule is
-evaluated only for rows that no earlier rule has rejected. The verdict does
-not depend on the order.
+A rule rejects a text. Its cost and its selectivity are measured on a sample of
+the rows: the time its expression takes over the written sample, beyond that of
+reading the texts, and which rows it rejects. The rules are then ordered by
+rejections per cost, each among the rows that the rules before it let pass, and
+become one conditional expression, so a rule is evaluated only for rows that no
+earlier rule has rejected. The verdict does not depend on the order, which may
+differ from run to run where costs are close.
+
+``judged`` reports base statistics of every row, so rules on these alone cost
+next to nothing there and come first; what the other rules need (lines,
+capitals) is computed only for rows that get to them.
 
 The sample are the rows whose seeded hash falls into one of SAMPLE_OF
 residues: a fixed share of any table. Only counts by pattern of rejecting
@@ -22,13 +27,14 @@ they come; extra columns are ignored by ``statistics`` and kept by ``cascade``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import SPACES
+from nightledger.llm.common import SPACES, stored
 from nightledger.llm.mixing import let
 
 SAMPLE_OF, WINDOW = 64, 5
@@ -40,7 +46,8 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 class Rule:
     """``rejects`` maps a function from feature name to column to a boolean column.
 
-    Cost in nanoseconds: a row's characters times ``char`` plus its words times ``word``.
+    Cost in nanoseconds: a row's characters times ``char`` plus its words times
+    ``word``. The given numbers hold where there is no sample to measure.
     """
 
     name: str
@@ -106,22 +113,47 @@ def features(text: Column) -> dict[str, Column]:
     }
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, all features) of every row of (doc_id, text); words are cut once."""
+def base_statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, the base features) of every row of (doc_id, text); words are cut once."""
     f = features(F.col("text"))
     cut = let(words(F.coalesce("text", F.lit(""))), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
-    rest = [f[n].alias(n) for n in f if n not in ("n_words", "n_repeat_words")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", cut.alias("cut")).select("doc_id", "cut.*", *rest)
+    rest = [f[n].alias(n) for n in FEATURES if n not in ("n_words", "n_repeat_words")]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", cut.alias("cut")).select("doc_id", "text", "cut.*", *rest)
 
 
-def order(docs: DataFrame, rules=RULES, seed: int = 1) -> list[Rule]:
-    """The rules by rejections per cost on the sample of (doc_id, text)."""
-    sample = docs.select(F.col("doc_id"), "text").where(F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(SAMPLE_OF)) == 0)
-    stats = statistics(sample.withColumn("doc_id", F.length(F.coalesce("text", F.lit("")))))  # the id's place holds the length
-    bits = [F.when(r.rejects(F.col), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)]
-    seen = (stats.select(sum(bits[1:], bits[0]).alias("mask"), "n_words", F.col("doc_id").alias("chars")).groupBy("mask")
+def statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, all features) of every row of (doc_id, text)."""
+    f = features(F.col("text"))
+    return base_statistics(docs).withColumns({n: f[n] for n in f if n not in FEATURES}).drop("text")
+
+
+def order(docs: DataFrame, rules=RULES, feature: Callable[[str], Column] | None = None, seed: int = 1) -> list[Rule]:
+    """The rules by rejections per cost on the sample of ``docs`` (doc_id, text and the columns that ``feature`` uses)."""
+    feature = feature or features(F.col("text")).__getitem__
+    picked = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(SAMPLE_OF)) == 0
+    own = [F.col(f"`{c}`") for c in docs.columns if c == "text" or c in FEATURES]
+    sample = stored(docs.where(picked).select(*own), "rules")
+    bits = [F.when(r.rejects(feature), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)]
+    n_words, chars = features(F.col("text"))["n_words"], F.length(F.coalesce("text", F.lit("")))
+    seen = (sample.select(sum(bits[1:], bits[0]).alias("mask"), n_words.alias("n_words"), chars.alias("chars")).groupBy("mask")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("n_words").alias("words")).collect())
-    return ranked(rules, [(r["mask"], r["n"], r["chars"], r["words"]) for r in seen])
+    patterns = [(r["mask"], r["n"], r["chars"], r["words"]) for r in seen]
+    return ranked(measured(sample, rules, feature, sum(p[2] for p in patterns)) if patterns else rules, patterns)
+
+
+def measured(sample: DataFrame, rules, feature: Callable[[str], Column], chars: int, runs: int = 2) -> list[Rule]:
+    """The rules with the time that each takes on the sample, per character: the best of ``runs`` counts of its rejections."""
+    def seconds(column: Column) -> float:
+        best = float("inf")
+        for _ in range(runs):
+            start = time.perf_counter()
+            sample.agg(F.sum(column)).collect()
+            best = min(best, time.perf_counter() - start)
+        return best
+    read = seconds(F.length("text"))
+    # a rule that costs no more than reading still costs something, or any rejection would be worth any price
+    spent = [max(seconds(r.rejects(feature).cast("int")) - read, 0.01 * read) for r in rules]
+    return [replace(r, char=1e9 * t / max(chars, 1), word=0.0) for r, t in zip(rules, spent, strict=True)]
 
 
 def ranked(rules, patterns: list[tuple[int, int, int, int]]) -> list[Rule]:
@@ -158,9 +190,18 @@ def cascade(docs: DataFrame, rules=RULES, column: str = "rejected_by") -> DataFr
     return docs.withColumn(column, verdict(order(docs, rules), f.__getitem__))
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """(doc_id, the base statistics, base_failed, kept, rejected_by) of every row."""
-    rules = order(docs)
+def judged(docs: DataFrame, rules=RULES) -> DataFrame:
+    """(doc_id, the base statistics, base_failed, kept, rejected_by) of every row.
+
+    Rules come in the order that the sample gives them; a feature that is no
+    base statistic is evaluated only in rows that no earlier rule has rejected.
+    """
+    f = features(F.col("text"))
+
+    def feature(name: str) -> Column:
+        return F.col(name) if name in FEATURES else f[name]
+    rows = base_statistics(docs)
     failed = BASE[0].rejects(F.col) | BASE[1].rejects(F.col)
-    return statistics(docs).select("doc_id", *FEATURES, failed.alias("base_failed"), verdict(rules, F.col).alias("rejected_by")).select(
+    first = verdict(order(rows, rules, feature), feature)
+    return rows.select("doc_id", *FEATURES, failed.alias("base_failed"), first.alias("rejected_by")).select(
         "doc_id", *FEATURES, "base_failed", (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"), "rejected_by")
