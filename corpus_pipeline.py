@@ -7,7 +7,7 @@ the columns of ``docs`` as they came.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nightledger.llm import language_crf, lsh_forest, mixing, pii_crf, piece_bpe
@@ -17,6 +17,11 @@ from nightledger.llm.queries import tokenizer_path
 MIN_SCORE = 0.4   # mean marginal of the best language below which a text is in no known one
 
 
+def all_of(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs``, those with a dot in their name too."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language stay; texts without letters or with a low score go.
 
@@ -33,12 +38,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the least doc_id.
 
     Documents without an id or without words have no group and stay; of rows
-    that repeat a doc_id one stays.
+    that repeat a doc_id the one with the least hash of its text stays.
     """
     kept = lsh_forest.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     known = docs.where(F.col("doc_id").isNotNull())
-    return (known.join(kept, known.doc_id == kept.kept_id, "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    text = F.sha2(F.col("text").cast("binary"), 256)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(text, F.xxhash64(*all_of(docs))))
+    one = known.join(kept, known.doc_id == kept.kept_id, "left_semi").withColumn("near_dedup place", place)
+    return (one.where(F.col("near_dedup place") == 1).select(all_of(docs)).union(docs.where(F.col("doc_id").isNull())))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +53,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pii_crf.redact(docs, pii_crf.fit(docs))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out.select(all_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +62,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents of sources above their target are drawn less than once on the
     average, others up to twice.
     """
-    return mixing.shuffled(mixing.mix(docs)).select(docs.columns)
+    # other columns travel under names of their own, whatever they are called
+    safe = docs.toDF(*[c if c in ("doc_id", "text", "source") else f"column {i}" for i, c in enumerate(docs.columns)])
+    return mixing.shuffled(mixing.mix(safe)).select(all_of(safe)).toDF(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
