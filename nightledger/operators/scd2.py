@@ -29,7 +29,7 @@ def _ts(v: _dt.datetime | Column) -> Column:
     return v if isinstance(v, Column) else ts_lit(v)
 
 
-def _is_open() -> Column:
+def is_open() -> Column:
     """The open marker; a version without an end time is not open, and is kept."""
     return F.coalesce(F.col("effective_to") == ts_lit(MAXD), F.lit(False))
 
@@ -40,7 +40,7 @@ def empty_history(spark: SparkSession, dim: str) -> DataFrame:
 
 def dim_open(hist: DataFrame) -> DataFrame:
     """Current rows: ``effective_to`` is the open marker."""
-    return hist.where(_is_open())
+    return hist.where(is_open())
 
 
 def scd2_open(stg: DataFrame, dim: str, eff_from: _dt.datetime | Column | None = None) -> DataFrame:
@@ -66,11 +66,11 @@ def scd2_close(hist: DataFrame, new_rows: DataFrame, dim: str) -> DataFrame:
     key = DIMENSIONS[dim]["key"]
     cols = hist.columns
     times = new_rows.groupBy(key).agg(F.max("effective_from").alias("_t"))
-    open_rows = hist.where(_is_open()).join(times, key, "left")
+    open_rows = hist.where(is_open()).join(times, key, "left")
     close = F.col("_t").isNotNull() & (F.col("effective_from") < F.col("_t"))
     reopened = open_rows.withColumn(
         "effective_to", F.when(close, closing_time(F.col("_t"))).otherwise(F.col("effective_to")))
-    return hist.where(~_is_open()).unionByName(reopened.select(*cols))
+    return hist.where(~is_open()).unionByName(reopened.select(*cols))
 
 
 def staged_once(stg: DataFrame, dim: str) -> DataFrame:
@@ -122,11 +122,11 @@ def tombstone(hist: DataFrame, keys: DataFrame, dim: str, ts: _dt.datetime | Col
     key = DIMENSIONS[dim]["key"]
     ts = _ts(ts)
     cols = hist.columns
-    j = _with_presence(hist.where(_is_open()), keys, key)
+    j = _with_presence(hist.where(is_open()), keys, key)
     gone = (F.col("_present").isNull() & (F.col("deleted_flg") == LIVE)
             & (F.col("effective_from") < ts))
     new_to = F.when(gone, closing_time(ts)).otherwise(F.col("effective_to"))
-    return hist.where(~_is_open()).unionByName(_emit(j, cols, gone, ts, new_to))
+    return hist.where(~is_open()).unionByName(_emit(j, cols, gone, ts, new_to))
 
 
 def tombstone_literal(hist: DataFrame, keys: DataFrame, dim: str,
@@ -146,13 +146,13 @@ def tombstone_literal(hist: DataFrame, keys: DataFrame, dim: str,
     present = F.coalesce(F.col("_present"), F.lit(False))
     if dim == "terminals":
         matched = present & F.coalesce(F.col("deleted_flg") == LIVE, F.lit(False))
-        copy = ~matched & _is_open()
+        copy = ~matched & is_open()
     else:
-        matched = present & F.coalesce(_is_open() & (F.col("deleted_flg") == LIVE), F.lit(False))
+        matched = present & F.coalesce(is_open() & (F.col("deleted_flg") == LIVE), F.lit(False))
         copy = ~matched
     # the follow-up UPDATE selects keys, so it reaches every open row of a hit key;
     # the window reuses the join's partitioning on the key (no extra exchange)
     key_hit = F.max(copy.cast("int")).over(Window.partitionBy(key)) == 1
-    close = key_hit & _is_open() & (F.col("effective_from") < ts)
+    close = key_hit & is_open() & (F.col("effective_from") < ts)
     new_to = F.when(close, closing_time(ts)).otherwise(F.col("effective_to"))
     return _emit(j, cols, copy, ts, new_to)

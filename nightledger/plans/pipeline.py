@@ -88,9 +88,9 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
     stage["transactions"] = lambda: wh.stage(read_transactions(spark, inp.transactions), "transactions", attempt)
     staged = dict(zip(stage, _run_all(stage.values()), strict=True))
 
-    hist = {d: wh.before(f"dim_{d}_hist", prev) for d in DIMS}
     stg = {d: staged[d].where("changed").drop("changed") for d in src}
-    stg["terminals"] = cdc.snapshot_diff(staged["terminals"], hist["terminals"])
+    terminals_before = wh.before("dim_terminals_hist", prev)
+    stg["terminals"] = cdc.snapshot_diff(staged["terminals"], terminals_before)
     keys = {d: staged[d].select(F.col(DIMENSIONS[d]["key"]).alias("id")) for d in DIMS}
     _run_all([lambda d=d: scd2.staged_once(stg[d], d) for d in DIMS])
 
@@ -103,7 +103,8 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
         lambda: wh.write(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)), "fact_blacklist", attempt),
     ]
     for d in DIMS:
-        h = scd2.scd2_apply(hist[d], stg[d], d, eff_from=day if d == "terminals" else None)
+        # closed rows pass through every step, so only the open ones are read and written
+        h = scd2.scd2_apply(wh.open_rows(f"dim_{d}_hist", prev), stg[d], d, eff_from=day if d == "terminals" else None)
         h = scd2.tombstone(h, keys[d], d, day if d == "terminals" else run_ts)
         writes.append(lambda h=h, d=d: wh.write(h, f"dim_{d}_hist", attempt))
     for d in src:
@@ -114,13 +115,13 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
     # state tables of the rules, each brought up to date from the run's changes
     fact = wh.read("fact_transactions", prev or 0, attempt)
     today = wh.read("fact_transactions", 0, attempt)
-    t = {d: wh.read(f"dim_{d}_hist", attempt=attempt) for d in DIMS}
+    t = {d: wh.read(f"dim_{d}_hist", prev or 0, attempt) for d in DIMS}
     span = (wh.before("card_span", prev).unionByName(rules.card_span(today))
             .groupBy("card_num").agg(F.min("first_dt").alias("first_dt"),
                                      F.max("last_dt").alias("last_dt")))
     days = wh.before("terminal_days", prev).unionByName(incremental.terminal_days(today)).distinct()
     _run_all([lambda: wh.write(span, "card_span", attempt), lambda: wh.write(days, "terminal_days", attempt)])
-    fresh = incremental.new_versions(hist["terminals"], t["terminals"])
+    fresh = incremental.new_versions(terminals_before, t["terminals"])
     wh.write(incremental.fraud3_state(wh.before("rule3_events", prev), fact, today, t["terminals"], fresh,
                                       wh.read("terminal_days", attempt=attempt)), "rule3_events", attempt)
 

@@ -9,7 +9,13 @@
   attempts that began side by side the second to end fails. Of several markers
   of a run the one begun last counts. Readers open only folders of counting
   attempts, so what a crashed attempt has left is never seen.
-* State tables (history, control table, blacklist, first and last operation
+* History tables are segments: an attempt writes the rows that it closed and
+  the rows that are open after it, side by side. Closed rows never change, so
+  they are written once and read from the attempts that closed them; of the open
+  segments the last one counts. A run reads and writes open rows and changes,
+  however long the history is.
+* What attempts that do not count have left is removed by ``remove_left_over``.
+* State tables (control table, blacklist, first and last operation
   per card, first event of rule 3 per card, days of use per terminal) are written whole; the transactions and the report accumulate: a
   read takes the folders of all counting runs up to the one asked for.
 * The transactions of an attempt are partitioned by operation day, so a
@@ -32,12 +38,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nightledger import schemas as S
+from nightledger.operators.scd2 import is_open
 
-VERSIONED = {
+HISTORY = {
     "dim_terminals_hist": S.DIM_TERMINALS_HIST,
     "dim_accounts_hist": S.DIM_ACCOUNTS_HIST,
     "dim_cards_hist": S.DIM_CARDS_HIST,
     "dim_clients_hist": S.DIM_CLIENTS_HIST,
+}
+VERSIONED = {
     "fact_blacklist": S.FACT_BLACKLIST,
     "meta_loading": S.META_LOADING,
     "card_span": T.StructType([T.StructField("card_num", T.StringType()),
@@ -54,14 +63,24 @@ RUNS = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("attem
                      T.StructField("committed_at", T.TimestampNTZType())])
 
 
+#: Names under which an attempt stages rows.
+STAGED = ("accounts", "cards", "clients", "terminals", "transactions", "rejects")
+OPEN, CLOSED = "open", "closed"
+
+
 class AlreadyCommitted(RuntimeError):
     """Another attempt of the run landed its marker first."""
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it names it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Write a file unless it exists; False if it does. Whoever creates it first wins where the file system says so (HDFS does)."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, target = _file_system(spark, path)
     try:
         out = fs.create(target, False)
     except Py4JJavaError as e:
@@ -118,6 +137,8 @@ class Warehouse:
     def commit(self, attempt: str, business_date: _dt.datetime, run_ts: _dt.datetime) -> None:
         """Land the marker; raises :class:`AlreadyCommitted` if another attempt has done so since this one began."""
         run, marker, _ = attempt.split("-")
+        if int(run) < (self.committed_run() or 0):
+            raise AlreadyCommitted(f"run {int(run)}: a later run is committed, {attempt} does not count")
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = dict(zip(RUNS.names, (int(run), attempt, *(t.isoformat() for t in (business_date, run_ts, now))), strict=True))
         if not create_new(self.spark, f"{self.root}/_runs/{run}-{marker}.json", json.dumps(row) + "\n"):
@@ -125,10 +146,14 @@ class Warehouse:
 
     # ---- tables ----
     def write(self, df: DataFrame, table: str, attempt: str) -> None:
-        schema, day = ACCUMULATING.get(table) or (VERSIONED[table], None)
+        """Write a table of this attempt; of a history table the rows that the attempt had open or closed, not those closed before."""
+        schema, day = ACCUMULATING.get(table) or (HISTORY.get(table) or VERSIONED[table], None)
         rows = df.select(*[f.name for f in schema.fields])
         path = f"{self.root}/{table}/attempt={attempt}"
-        if day:
+        if table in HISTORY:
+            segment = F.when(is_open(), F.lit(OPEN)).otherwise(F.lit(CLOSED))
+            rows.withColumn("segment", segment).write.partitionBy("segment").parquet(path)
+        elif day:
             rows.withColumn("op_date", F.to_date(day)).write.partitionBy("op_date").parquet(path)
         else:
             rows.write.parquet(path)
@@ -145,6 +170,8 @@ class Warehouse:
         A state table that no run has written is empty.
         """
         known = self._attempts(run)
+        if table in HISTORY:
+            return self._history(table, known, attempt).select(*HISTORY[table].names)
         if table in VERSIONED:
             of = attempt or (known[max(known)] if known else None)
             return self.empty(table) if of is None else self.spark.read.schema(VERSIONED[table]).parquet(f"{self.root}/{table}/attempt={of}")
@@ -156,12 +183,53 @@ class Warehouse:
         return (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}")
                 .parquet(*[f"{self.root}/{table}/attempt={a}" for a in folders]).select(*full.names))
 
+    def _history(self, table: str, known: dict[int, str], attempt: str | None) -> DataFrame:
+        """All closed segments and the last open one, with the column ``segment``."""
+        run = int(attempt[:6]) if attempt else max(known, default=0)
+        folders = [a for r, a in sorted(known.items()) if r < run or not attempt] + ([attempt] if attempt else [])
+        full = T.StructType([*HISTORY[table].fields, T.StructField("attempt", T.StringType()), T.StructField("segment", T.StringType())])
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        rows = (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}")
+                .parquet(*[f"{self.root}/{table}/attempt={a}" for a in folders]))
+        return rows.where((F.col("segment") == CLOSED) | (F.col("attempt") == folders[-1]))
+
+    def open_rows(self, table: str, run: int | None) -> DataFrame:
+        """The open rows of a history table as of ``run``; empty when there is no earlier run."""
+        known = {} if run is None else self._attempts(run)
+        return self._history(table, known, None).where(F.col("segment") == OPEN).select(*HISTORY[table].names)
+
+    def left_over(self) -> list[str]:
+        """Folders of attempts that do not count and no longer can: their run is older than the last committed one, or is
+        that run and has a later marker."""
+        counting = self._attempts()
+        last = max(counting, default=0)
+        fs, _ = _file_system(self.spark, self.root)
+        out = []
+        for table in (*HISTORY, *VERSIONED, *ACCUMULATING, *(f"_staging/{n}" for n in STAGED)):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+            for f in fs.listStatus(path) if fs.exists(path) else []:
+                attempt = f.getPath().getName().removeprefix("attempt=")
+                run, marker = (int(x) for x in attempt.split("-")[:2])
+                done = run < last or run == last and marker < int(counting[last].split("-")[1])
+                if done and attempt not in counting.values():
+                    out.append(f.getPath().toString())
+        return out
+
+    def remove_left_over(self) -> int:
+        """Delete what ``left_over`` names; returns how many folders that were."""
+        fs, _ = _file_system(self.spark, self.root)
+        found = self.left_over()
+        for path in found:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+        return len(found)
+
     def report(self, run: int) -> DataFrame:
         """The report rows that a committed run appended."""
         return self.read("rep_fraud", 0, self._attempts()[run])
 
     def empty(self, table: str) -> DataFrame:
-        return self.spark.createDataFrame([], VERSIONED.get(table) or ACCUMULATING[table][0])
+        return self.spark.createDataFrame([], HISTORY.get(table) or VERSIONED.get(table) or ACCUMULATING[table][0])
 
     def before(self, table: str, run: int | None) -> DataFrame:
         """State as of run ``run`` exactly; empty when there is no earlier run."""
