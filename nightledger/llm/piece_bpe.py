@@ -18,9 +18,10 @@ Each Arrow batch is checked against the sentencepiece library: every chunk
 that the worker meets for the first time (many to a call, a line each, as line
 feeds bound chunks), and one whole text with its decoded form. A difference
 raises. Within a chunk, two characters that no piece has side by side bound two
-parts that merge on their own. A chunk's decoded form is remembered beside its
-ids: its byte pieces are whole characters, so a text's decoded form is that of
-its chunks, joined.
+parts that merge on their own. A chunk's ids are decoded when it is learned: its
+byte pieces are whole characters, so a text's decoded form is that of its
+chunks, joined; chunks whose decoded form is not their own text are remembered
+with it.
 
 Defined results: null is read as an empty text; an empty text has no tokens;
 U+2581 in a text comes back as a space, as in the library.
@@ -62,7 +63,7 @@ class Codec:
         self.scores = {p: lib.get_score(ord(c)) for p, c in self.ids.items()}
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pieces, self.parts = {chr(i): p for i, p in enumerate(pieces)}, {}
-        self.cache, self.read = {}, {}   # chunk -> ids, and -> decoded form
+        self.cache, self.read = {}, {}   # chunk -> ids, and -> decoded form where that is not the chunk's own text
         if any(lib.is_unused(i) for i in range(len(pieces))) or len(self.byte) != 256:
             raise ValueError("the model has unused pieces or no byte fallback")
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
@@ -240,7 +241,8 @@ class Codec:
                 raise AssertionError("the library does not part chunks at line feeds")
         if len(self.cache) + len(new) > self.kept:
             self.cache, self.read = {}, {}
-        ids, read = dict(zip(keys, new, strict=True)), dict(zip(keys, map(self._joined, new), strict=True))
+        ids = dict(zip(keys, new, strict=True))
+        read = {c: d for c, d in zip(keys, map(self._joined, new), strict=True) if d != c.replace(SPACE, " ")}
         self.cache.update(ids)
         self.read.update(read)
         return ids, read
@@ -263,16 +265,23 @@ class Codec:
         return out if text else []
 
     def known(self, chunks: set[str]) -> tuple[dict[str, str], dict[str, str]]:
-        """Tables (ids and decoded forms) that hold all of ``chunks``."""
+        """Tables that hold all of ``chunks``: ids, and decoded forms other than the chunk's own text."""
         ids, read = self.cache, self.read
         new = chunks.difference(ids)
         if new:
             fresh, decoded = self.learn(sorted(new))
             if self.cache is not ids:  # forgotten in between
                 old = chunks - new
-                return fresh | {c: ids[c] for c in old}, decoded | {c: read[c] for c in old}
+                return fresh | {c: ids[c] for c in old}, decoded | {c: read[c] for c in old if c in read}
         return ids, read
 
+    @staticmethod
+    def said(chunks: list[str], read: dict[str, str]) -> str:
+        """The decoded form of chunks in order."""
+        if read.keys().isdisjoint(chunks):
+            return "".join(chunks).replace(SPACE, " ")
+        return "".join([read[c] if c in read else c.replace(SPACE, " ") for c in chunks])
+
     def encode_batch(self, texts: list[str]) -> list[str]:
         return [ids for ids, _ in self.both(texts)]
 
@@ -282,7 +291,7 @@ class Codec:
 
         def done():
             ids, read = self.known(set().union(*some))
-            out.extend([("".join(map(ids.__getitem__, c)), "".join(map(read.__getitem__, c)).removeprefix(" ")) for c in some])
+            out.extend([("".join(map(ids.__getitem__, c)), self.said(c, read).removeprefix(" ")) for c in some])
             some.clear()
         for text in texts:
             chunks = self.chunks(text)
@@ -292,7 +301,7 @@ class Codec:
                 said = []
                 for part in parts:
                     ids, read = self.known(set(part))
-                    said.append(("".join(map(ids.__getitem__, part)), "".join(map(read.__getitem__, part))))
+                    said.append(("".join(map(ids.__getitem__, part)), self.said(part, read)))
                 out.append(("".join(i for i, _ in said), "".join(d for _, d in said).removeprefix(" ")))
                 n = 0
                 continue
