@@ -36,6 +36,23 @@ def rejects(stg: DataFrame) -> DataFrame:
     return stg.withColumn("reason", why).where(F.col("reason") != "")
 
 
+def rejected_lines(transactions: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """(source, id, line, reason) of everything in the staged rows that could not be read as it should.
+
+    Lines with another number of fields (column ``_malformed``) are not loaded;
+    rows with a text that is no time or amount are, with NULL in its place.
+    """
+    bad = rejects(transactions.where(F.col("_malformed").isNull()).drop("_malformed"))
+    fields = [c for c in bad.columns if c != "reason"]
+    named = lambda source: F.lit(source).alias("source")
+    return (transactions.where(F.col("_malformed").isNotNull())
+            .select(named("transactions"), F.lit(None).cast("string").alias("id"), F.col("_malformed").alias("line"), F.lit("malformed").alias("reason"))
+            .unionByName(bad.select(named("transactions"), F.col("trans_id").alias("id"), F.concat_ws(";", *fields).alias("line"), "reason"))
+            .unionByName(blacklist.where(_bad("report_dt", parse_dt("report_dt")))
+                         .select(named("blacklist"), F.col("passport_num").alias("id"), F.concat_ws(";", "report_dt", "passport_num").alias("line"),
+                                 F.lit("report_dt").alias("reason"))))
+
+
 def clean_blacklist(stg: DataFrame) -> DataFrame:
     """Blacklist rows: passport and the date it was listed."""
     return stg.select(F.col("passport_num"), parse_dt("report_dt").alias("entry_dt"))

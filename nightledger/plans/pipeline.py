@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from nightledger.operators import cdc, cleaning, incremental, meta, rules, scd2
 from nightledger.plans import ledger
 from nightledger.plans.store import Warehouse
-from nightledger.schemas import DIMENSIONS, HIST_TABLES, TERMINALS_HIST
-from nightledger.sources.files import (TERMINALS_STEM, read_blacklist, read_terminals,
+from nightledger.schemas import DIMENSIONS, HIST_TABLES, RUN_COUNTS, TERMINALS_HIST
+from nightledger.sources.files import (MALFORMED, TERMINALS_STEM, read_blacklist, read_terminals,
                                        read_transactions)
 
 DIMS = ("terminals", "accounts", "cards", "clients")
@@ -56,6 +56,26 @@ def _run_all(jobs) -> list:
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
+class RowsLost(RuntimeError):
+    """What a run has written is not what it has read."""
+
+
+def conserved(wh: Warehouse, staged: dict[str, DataFrame], attempt: str) -> DataFrame:
+    """Counts of the files' rows: read = loaded + malformed, or :class:`RowsLost`.
+
+    Counted in the tables as written, which is right after retries too and reads file footers only.
+    """
+    why = {(r.source, r.reason == "malformed"): r["count"] for r in
+           wh.read("rejects", 0, attempt).groupBy("source", F.when(F.col("reason") == "malformed", "malformed").alias("reason")).count().collect()}
+    out = []
+    for source, fact in (("transactions", wh.read("fact_transactions", 0, attempt)), ("blacklist", wh.read("fact_blacklist", attempt=attempt))):
+        read, loaded, malformed = staged[source].count(), fact.count(), why.get((source, True), 0)
+        if read != loaded + malformed:
+            raise RowsLost(f"{source}: {read} rows read, {loaded} loaded and {malformed} malformed")
+        out.append((source, read, loaded, malformed, why.get((source, False), 0)))
+    return wh.spark.createDataFrame(out, RUN_COUNTS)
+
+
 def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
             run: int | None = None) -> DataFrame:
     """Process one export; returns the report rows this run appended.
@@ -85,7 +105,8 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
     src = {"accounts": inp.accounts, "cards": inp.cards, "clients": inp.clients}
     stage = {d: lambda d=d: wh.stage(cdc.staged(src[d], d, marks[DIMENSIONS[d]["meta"]]), d, attempt) for d in src}
     stage["terminals"] = lambda: wh.stage(read_terminals(spark, inp.terminals), "terminals", attempt)
-    stage["transactions"] = lambda: wh.stage(read_transactions(spark, inp.transactions), "transactions", attempt)
+    stage["transactions"] = lambda: wh.stage(read_transactions(spark, inp.transactions, malformed=True), "transactions", attempt)
+    stage["blacklist"] = lambda: wh.stage(read_blacklist(spark, inp.blacklist), "blacklist", attempt)
     staged = dict(zip(stage, _run_all(stage.values()), strict=True))
 
     stg = {d: staged[d].where("changed").drop("changed") for d in src}
@@ -96,11 +117,12 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
 
     # independent outputs go out as concurrent Spark jobs: the day's transactions and
     # those that could not be read, the blacklist, each history table, the control table
+    whole = staged["transactions"].where(F.col(MALFORMED).isNull()).drop(MALFORMED)
     writes = [
-        lambda: wh.write(cleaning.clean_transactions(staged["transactions"]), "fact_transactions", attempt),
-        lambda: wh.stage(cleaning.rejects(staged["transactions"]), "rejects", attempt),
+        lambda: wh.write(cleaning.clean_transactions(whole), "fact_transactions", attempt),
+        lambda: wh.write(cleaning.rejected_lines(staged["transactions"], staged["blacklist"]), "rejects", attempt),
         lambda: wh.write(ledger.fingerprints(spark, inp, day), "export_files", attempt),
-        lambda: wh.write(cleaning.clean_blacklist(read_blacklist(spark, inp.blacklist)), "fact_blacklist", attempt),
+        lambda: wh.write(cleaning.clean_blacklist(staged["blacklist"]), "fact_blacklist", attempt),
     ]
     for d in DIMS:
         # closed rows pass through every step, so only the open ones are read and written
@@ -111,6 +133,7 @@ def run_day(wh: Warehouse, inp: DayInputs, run_ts: _dt.datetime,
         m = meta.watermark_advance(m, stg[d], d)
     writes.append(lambda m=m: wh.write(m, "meta_loading", attempt))
     _run_all(writes)
+    wh.write(conserved(wh, staged, attempt), "run_counts", attempt)
 
     # state tables of the rules, each brought up to date from the run's changes
     fact = wh.read("fact_transactions", prev or 0, attempt)

@@ -57,14 +57,14 @@ VERSIONED = {
 }
 #: Accumulating tables, with the expression of the day they are partitioned by.
 ACCUMULATING = {"fact_transactions": (S.FACT_TRANSACTIONS, "trans_date"), "rep_fraud": (S.REP_FRAUD, None),
-                "export_files": (S.EXPORT_FILES, None)}
+                "export_files": (S.EXPORT_FILES, None), "rejects": (S.REJECTS, None), "run_counts": (S.RUN_COUNTS, None)}
 RUNS = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("attempt", T.StringType()),
                      T.StructField("business_date", T.TimestampNTZType()), T.StructField("run_ts", T.TimestampNTZType()),
                      T.StructField("committed_at", T.TimestampNTZType())])
 
 
 #: Names under which an attempt stages rows.
-STAGED = ("accounts", "cards", "clients", "terminals", "transactions", "rejects")
+STAGED = ("accounts", "cards", "clients", "terminals", "transactions", "blacklist")
 OPEN, CLOSED = "open", "closed"
 
 

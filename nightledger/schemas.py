@@ -72,6 +72,8 @@ FACT_TRANSACTIONS = _struct(
     "trans_id S, trans_date T, card_num S, oper_type S, amt D, oper_result S, terminal S")
 REP_FRAUD = _struct("event_dt T, passport S, fio S, phone S, event_type S, report_dt T")
 META_LOADING = _struct("dbname S, tablename S, last_update T")
+REJECTS = _struct("source S, id S, line S, reason S")
+RUN_COUNTS = _struct("source S, rows_read L, rows_loaded L, rows_malformed L, rows_unreadable L")
 EXPORT_FILES = _struct("business_date T, kind S, file S, bytes L, lines L, digest S")
 
 # business keys and tracked attributes of each history dimension

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nightledger.functions.scalar import parse_ddmmyyyy
 from nightledger.schemas import STG_BLACKLIST, STG_TERMINALS, STG_TRANSACTIONS
@@ -48,13 +49,20 @@ def business_date(path: Column, stem: str) -> Column:
     return F.when(token != "", parse_ddmmyyyy(token))
 
 
-def read_transactions(spark: SparkSession, path: str, with_date: bool = False) -> DataFrame:
+#: The line as it stands, where it has not as many fields as there are columns.
+MALFORMED = "_malformed"
+
+
+def read_transactions(spark: SparkSession, path: str, with_date: bool = False, malformed: bool = False) -> DataFrame:
     """``;``-separated text with a header, bound to the 7 staging columns by position.
 
     Every file under ``path`` is read; one that is no transactions file raises.
+    With ``malformed`` there is a further column, the whole line where it is
+    too short or too long.
     """
     unread_files(spark, path)
-    df = (spark.read.schema(STG_TRANSACTIONS)
+    schema = T.StructType([*STG_TRANSACTIONS.fields, *([T.StructField(MALFORMED, T.StringType())] if malformed else [])])
+    df = (spark.read.schema(schema).option("columnNameOfCorruptRecord", MALFORMED)
           .option("sep", ";").option("header", True).option("recursiveFileLookup", True)
           .option("pathGlobFilter", TRANSACTION_FILES)
           .csv(path))
