@@ -15,13 +15,17 @@ group of thousands of copies is not compared pair by pair.
 
 Neighbours alone miss members of a star: copies of one document that are not
 copies of each other stand between it and the rest. So all documents that
-share the first MIN_DEPTH values of a label are a bucket, and buckets that
-still hold several components go on in rounds: members meet the bucket's
-representatives (the one with the most links first, then 4, 16, ... of them,
-each the best of its hash slot), which then leave the bucket, until one
-component or one member is left. So every pair that shares a bucket was tried
-or is in one component; a pair of similarity 0.8 shares none with odds of 3e-6.
-A bucket of many documents none of which are linked is compared pair by pair.
+share the first LEVELS[0] values of a label are a region, and regions that
+still hold several components go on, each as deep as it has to: a region of at
+most SMALL members has all its pairs of different components tried and is done;
+in a larger one every member outside the component of the region's head (the
+member with the most links) meets the head, and the region falls apart by
+the next values of the label. The pairs of all levels are tried together. So a level adds at most one pair a member and tree
+in large regions and (SMALL - 1) / 2 in small ones, whatever the regions'
+sizes, and never all pairs of a template. A region that still holds more than
+SMALL members of several components when the label ends agrees on LEVELS[-1]
+values of one order; there members meet 4, 16, ... representatives until one
+component or one member is left.
 
 Exact copies (equal sets) are one node from the start, found by a grouped
 minimum. Sorting is a range partitioning on (tree, label, node), so equal
@@ -47,8 +51,10 @@ from pyspark.sql import functions as F
 from nightledger.llm.common import WordHashes, ready, stored, window_hashes, word_hashes
 from nightledger.llm.components import components
 
-VALUES, TREES, DEPTH = 128, 32, 12   # signature values, trees, values in a label
-MIN_DEPTH = 5                        # least common prefix of candidates
+VALUES, TREES, DEPTH = 128, 32, 12      # signature values, trees, values in a sorted label
+MIN_DEPTH = 5                           # least common prefix of candidates
+LEVELS = (MIN_DEPTH, 8, 11, 14, 17, 20, 24)   # values that the members of a region share, level by level
+SMALL = 8                               # members up to which a region is compared whole
 
 
 def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
@@ -61,11 +67,11 @@ def _orders():
     rng = np.random.Generator(np.random.PCG64(20240101))
     a = rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 2**63, VALUES, dtype=np.uint64)
-    return a, b, np.stack([rng.permutation(VALUES)[:DEPTH] for _ in range(TREES)])
+    return a, b, np.stack([rng.permutation(VALUES)[:LEVELS[-1]] for _ in range(TREES)])
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, sig): digest identifies the set, null if it is empty."""
+    """(doc_id, n_shingles, digest, sig): digest identifies the set, null if it is empty; sig has two bytes of each minimum."""
     def each(batches):
         cache, (a, b, _) = WordHashes(), _orders()
         for batch in batches:
@@ -81,7 +87,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 low = np.full(VALUES, np.uint64(2**64 - 1))
                 for i in range(0, len(s), 4096):  # bounded memory for very long texts
                     low = np.minimum(low, (a[:, None] * s[None, i:i + 4096] + b[:, None]).min(axis=1))
-                sig.append((low >> np.uint64(32)).astype(">u4").tobytes())
+                sig.append((low >> np.uint64(32)).astype(np.uint16).astype(">u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
@@ -90,15 +96,15 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _labels(nodes: DataFrame) -> DataFrame:
-    """(node, sig) -> (tree, label, node), two bytes of each value."""
+    """(node, sig) -> (tree, label, node)."""
     def each(batches):
         _, _, orders = _orders()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, VALUES, 2)[:, :, 1]
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, VALUES)
             for t, order in enumerate(orders):
-                rows = np.ascontiguousarray(sig[:, order])
+                rows = np.ascontiguousarray(sig[:, order[:DEPTH]])
                 label = pa.Array.from_buffers(pa.binary(2 * DEPTH), len(rows), [None, pa.py_buffer(rows)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(rows), t, np.int32)), label.cast(pa.binary()), batch.column(0)],
@@ -173,42 +179,120 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return full.mapInArrow(each, "u long, v long").distinct()
 
 
-def linked_in_buckets(labels: DataFrame, part: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``part`` (node, component) after all pairs that share a bucket were tried or are in one component.
+def _with_labels(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` (tree, node, ...) with ``label``: LEVELS[-1] signature values in the tree's order."""
+    def each(batches):
+        _, _, orders = _orders()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), ">u2").reshape(-1, VALUES)
+            label = np.ascontiguousarray(np.take_along_axis(sig, orders[batch.column(0).to_numpy()], axis=1))
+            made = pa.Array.from_buffers(pa.binary(2 * LEVELS[-1]), len(label), [None, pa.py_buffer(label)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made.cast(pa.binary())], [*batch.schema.names[:-1], "label"])
+    facts = ["tree", "node", "component", "degree"]
+    return rows.select(*facts).join(nodes.select("node", "sig"), "node").select(*facts, "sig").mapInArrow(
+        each, "tree int, node long, component long, degree long, label binary")
+
+
+def merged(part: DataFrame, links: DataFrame) -> DataFrame:
+    """``part`` (node, component) with further ``links`` (u, v): components of components, then one join."""
+    if links.isEmpty():
+        return part
+    ends = (links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(part, "node", "left")
+            .select("node", F.coalesce("component", "node").alias("component")).checkpoint())
+    edges = (links.join(ends.select(F.col("node").alias("u"), F.col("component").alias("a")), "u")
+             .join(ends.select(F.col("node").alias("v"), F.col("component").alias("b")), "v")
+             .select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = components(edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    alone = ends.join(part, "node", "left_anti")
+    return part.unionByName(alone).join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")).checkpoint()
+
+
+class _Tried:
+    """Links found so far, and the pairs that need not be tried again."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int, links: DataFrame):
+        self.docs, self.k, self.percent, self.links, self.pairs, self.texts = docs, k, percent, links, None, None
+
+    def degrees(self) -> DataFrame:
+        return self.links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+
+    def join(self, part: DataFrame, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """``part`` after ``pairs`` of ``rows``' nodes were tried."""
+        pairs = pairs.distinct()
+        if self.pairs is not None:
+            pairs = pairs.join(self.pairs, ["u", "v"], "left_anti")
+        pairs = stored(pairs, "candidates")
+        if pairs.isEmpty():
+            return part
+        if self.texts is None:  # later rounds know no other documents
+            ids = rows.select(F.col("node").alias("doc_id")).distinct()
+            self.texts = stored(self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+        self.pairs = pairs if self.pairs is None else self.pairs.union(pairs)
+        new = stored(confirmed(pairs, self.texts, self.k, self.percent), "links")
+        if new.isEmpty():
+            return part
+        self.links = self.links.union(new)
+        return merged(part, new)
+
+
+def _pair(a: str, b: str) -> list:
+    return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
+
+
+def linked_in_regions(labels: DataFrame, nodes: DataFrame, part: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``part`` (node, component) after the regions' members were tried as the module says.
 
     ``links`` are the pairs (u, v) confirmed so far.
     """
-    bucket = F.xxhash64("tree", F.substring("label", 1, 2 * MIN_DEPTH)).alias("bucket")
-    degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-
-    def alive(rows):
-        """Rows (bucket, node, degree) of buckets with several components, and their components."""
+    tried = _Tried(docs, k, percent, links)
+    facts = part.join(tried.degrees(), "node", "left")
+    bucket = lambda depth: F.xxhash64("tree", F.substring("label", 1, 2 * depth)).alias("bucket")
+    # every node in every tree: no label travels with it
+    rows = (labels.select(bucket(LEVELS[0]), "tree", "node").join(facts, "node", "left")
+            .select("bucket", "tree", "node", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    pairs = first = None
+    for level, depth in enumerate(LEVELS):
+        known = rows.select(bucket(depth), *rows.columns) if level else rows
+        region = known.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
+        mixed = stored(known.join(region.where("a < b").select("bucket", "n"), "bucket"), "mixed")
+        if mixed.isEmpty():
+            break
+        first = mixed if first is None else first
+        large = mixed.where(F.col("n") > SMALL)
+        heads = (large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"), "component")).alias("x"))
+                 .select("bucket", (-F.col("x.least")).alias("head"), F.col("x.component").alias("other")))
+        to_head = large.join(heads, "bucket").where(F.col("component") != F.col("other")).select(*_pair("node", "head"))
+        # at most SMALL members a row, pairs of different components
+        whole = mixed.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("node", "component"))).alias("m"))
+        both = (whole.select(F.posexplode("m").alias("i", "x"), "m")
+                .select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+                .where(F.col("x.component") != F.col("y.component")).select(*_pair("x.node", "y.node")))
+        pairs = to_head.union(both) if pairs is None else pairs.union(to_head).union(both)
+        rows = large.drop("bucket", "n") if level else _with_labels(large, nodes)
+    if pairs is None:
+        return part
+    part = tried.join(part, pairs, first)
+    return part if mixed.isEmpty() else _to_the_end(large.select("bucket", "node"), part, tried)
+
+
+def _to_the_end(rows: DataFrame, part: DataFrame, tried: _Tried) -> DataFrame:
+    """Regions (bucket, node) until each holds one component: members meet ever more representatives, which then leave."""
+    slots = 4
+    while True:
         of = rows.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
         several = of.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
-        return stored(of.join(several, "bucket", "left_semi"), "buckets")
-
-    rows = alive(labels.select(bucket, "node").join(degree, "node", "left"))
-    texts = tried = None
-    slots = 1
-    while not rows.isEmpty():
-        if texts is None:  # later rounds know no other documents
-            ids = rows.select(F.col("node").alias("doc_id")).distinct()
-            texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+        of = stored(of.join(several, "bucket", "left_semi"), "mixed")
+        if of.isEmpty():
+            return part
         slot = F.pmod(F.xxhash64(F.lit(slots), "node"), F.lit(slots))
-        heads = stored(rows.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("node")).alias("least"), "component")).alias("x"))
-                       .select("bucket", (-F.col("x.least")).alias("head"), F.col("x.component").alias("other")), "heads")
-        pairs = (rows.join(heads, "bucket").where(F.col("component") != F.col("other"))
-                 .select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = stored(pairs, "candidates")
-        tried = pairs if tried is None else tried.union(pairs)
-        new = stored(confirmed(pairs, texts, k, percent), "links")
-        if not new.isEmpty():
-            part = components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(new)).checkpoint()
-        rows = alive(rows.select("bucket", "node", "degree").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti"))
+        heads = stored(of.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component")).alias("x"))
+                       .select("bucket", F.col("x.node").alias("head"), F.col("x.component").alias("other")), "heads")
+        pairs = of.join(heads, "bucket").where(F.col("component") != F.col("other")).select(*_pair("node", "head"))
+        part = tried.join(part, pairs, of)
+        rows = of.select("bucket", "node").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
         slots *= 4
-    return part
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -232,8 +316,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .join(part.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
             .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")))
     second = stored(confirmed(rest, docs, k, percent), "links")
-    whole = components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second)).checkpoint()
-    whole = linked_in_buckets(labels, whole, first.union(second), docs, k, percent)
+    whole = linked_in_regions(labels, nodes, merged(part, second), first.union(second), docs, k, percent)
     named = (nodes.select("digest", "node").join(whole, "node", "left")
              .select("digest", F.coalesce("component", "node").alias("component_id")))
     of_empty = F.when(F.col("digest").isNull(), F.col("doc_id"))

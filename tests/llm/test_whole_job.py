@@ -65,3 +65,19 @@ def test_equal_lines_without_a_near_variant_are_repeated(spark):
     got = {r.doc_id: r for r in paragraph_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert set(got) == set(range(60))
     assert all([s.removed for s in got[i].spans] == [i % 2 == 1] and sum(s.words for s in got[i].spans) == 20 for i in got)
+
+
+def test_forest_compares_a_template_in_proportion(spark, monkeypatch):
+    """Documents on one template, none linked (J about 0.66): pairs per document do not grow with their number."""
+    rng, seen = random.Random(11), []
+    plain = lsh_forest.confirmed
+    monkeypatch.setattr(lsh_forest, "confirmed", lambda pairs, *a: (seen.append(pairs.count()), plain(pairs, *a))[1])
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    tried = {}
+    for n in (200, 800):
+        seen.clear()
+        rows = [(i, " ".join(x if rng.random() > 0.105 else f"{i}x{j}" for j, x in enumerate(base))) for i in range(n)]
+        got = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2)
+        assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows, 2)
+        tried[n] = sum(seen) / n
+    assert tried[800] < 1.6 * tried[200] and tried[800] < 400 / 2, tried
