@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,18 +50,6 @@ def bounded_sample(rows: DataFrame, key: list[str], most: int, seed: int) -> Dat
     return rows.where(below(most / max(n, 1), seed, *key)).orderBy(F.xxhash64(F.lit(seed), *key)).limit(2 * most)
 
 
-class WordHashes(dict):
-    """Word bytes -> 64-bit hash; entries beyond ``limit`` are forgotten, not wrong."""
-
-    limit = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
 
@@ -84,8 +71,51 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def word_hashes(text: str | None, cache: WordHashes, lower: bool = True) -> np.ndarray:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (bytes.split divides at just these bytes)."""
-    words = (text or "").encode("utf-8", "surrogatepass")
-    words = (words.lower() if lower else words).split()  # bytes.lower changes A-Z only
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_PLACES = 64
+
+
+class WordHashes:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered, made for many at once.
+
+    A hash is the sum of a fixed random value for each byte and its place. No word is remembered, so that memory does not grow with the vocabulary.
+    """
+
+    def __init__(self):
+        values = np.random.Generator(np.random.PCG64(6464)).integers(0, 2**64, (_PLACES, 256), dtype=np.uint64)
+        values[:, 65:91] = values[:, 97:123]   # A-Z count as a-z
+        self.values = values.ravel()
+
+    def words(self, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, start, end in bytes) of the words of ``blob``."""
+        byte = np.frombuffer(blob, np.uint8)
+        inside = np.zeros(len(byte) + 2, bool)
+        np.logical_not(_BLANK[byte], out=inside[1:-1])
+        turn = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = turn[::2], turn[1::2]
+        if not len(start):
+            return np.zeros(0, np.uint64), start, end
+        size = end - start
+        place = np.arange(len(byte), dtype=np.int32)
+        last = np.zeros(len(byte), np.int32)          # start of the word that a byte is in
+        last[start] = start
+        place -= np.maximum.accumulate(last)
+        each = self.values[((place & (_PLACES - 1)) << 8) | byte]
+        if size.max() > _PLACES:
+            far = np.flatnonzero(place >= _PLACES)
+            each[far] = mixed(each[far] + (place[far] // _PLACES).astype(np.uint64) * _M1)
+        each[~inside[1:-1]] = 0
+        return np.add.reduceat(each, start), start, end
+
+    def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all texts side by side, and where each text's begin (one more than texts)."""
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        hashes, start, _ = self.words(b"\n".join(raw))
+        return hashes, np.searchsorted(start, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+
+
+def shingle_sets(texts: list[str | None], k: int, hashes: WordHashes) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's k-word shingles; fewer words: one of the whole."""
+    h, at = hashes.of_texts(texts)
+    full = window_hashes(h, k) if len(h) >= k else h[:0]
+    return [np.unique(full[a:b - k + 1]) if b - a >= k else window_hashes(h[a:b], k) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]

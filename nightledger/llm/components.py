@@ -48,3 +48,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
+
+
+def joined(part: DataFrame, links: DataFrame) -> DataFrame:
+    """``part`` (node, component) with further ``links`` (u, v): components of components, then one join."""
+    if links.isEmpty():
+        return part
+    ends = (links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(part, "node", "left")
+            .select("node", F.coalesce("component", "node").alias("component")).checkpoint())
+    edges = (links.join(ends.select(F.col("node").alias("u"), F.col("component").alias("a")), "u")
+             .join(ends.select(F.col("node").alias("v"), F.col("component").alias("b")), "v")
+             .select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = components(edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    alone = ends.join(part, "node", "left_anti")
+    return part.unionByName(alone).join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")).checkpoint()

@@ -15,7 +15,8 @@ group of thousands of copies is not compared pair by pair.
 
 Neighbours alone miss members of a star: copies of one document that are not
 copies of each other stand between it and the rest. So all documents that
-share the first LEVELS[0] values of a label are a region, and regions that
+share the first LEVELS[0] values of a label are a region. First one member of
+each component meets the region's head, which ends most regions. Those that
 still hold several components go on, each as deep as it has to: a region of at
 most SMALL members has all its pairs of different components tried and is done;
 in a larger one every member outside the component of the region's head (the
@@ -48,8 +49,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import WordHashes, ready, stored, window_hashes, word_hashes
-from nightledger.llm.components import components
+from nightledger.llm.common import WordHashes, ready, shingle_sets, stored
+from nightledger.llm.components import components, joined
 
 VALUES, TREES, DEPTH = 128, 32, 12      # signature values, trees, values in a sorted label
 MIN_DEPTH = 5                           # least common prefix of candidates
@@ -57,11 +58,6 @@ LEVELS = (MIN_DEPTH, 8, 11, 14, 17, 20, 24)   # values that the members of a reg
 SMALL = 8                               # members up to which a region is compared whole
 
 
-def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles, A-Z lowered."""
-    return np.unique(window_hashes(word_hashes(text, cache), k))
-
-
 def _orders():
     """Multipliers and offsets of the hash functions, and each tree's order of values."""
     rng = np.random.Generator(np.random.PCG64(20240101))
@@ -73,24 +69,26 @@ def _orders():
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, digest, sig): digest identifies the set, null if it is empty; sig has two bytes of each minimum."""
     def each(batches):
-        cache, (a, b, _) = WordHashes(), _orders()
+        hashes, (a, b, _) = WordHashes(), _orders()
+        a, b = a[:, None], b[:, None]
         for batch in batches:
-            n, digest, sig = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text, k, cache)
-                n.append(len(s))
-                if not len(s):
-                    digest.append(None)
-                    sig.append(None)
-                    continue
-                digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                low = np.full(VALUES, np.uint64(2**64 - 1))
-                for i in range(0, len(s), 4096):  # bounded memory for very long texts
-                    low = np.minimum(low, (a[:, None] * s[None, i:i + 4096] + b[:, None]).min(axis=1))
-                sig.append((low >> np.uint64(32)).astype(np.uint16).astype(">u2").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                n, digest, sig = [], [], []
+                for s in shingle_sets(part.column(1).to_pylist(), k, hashes):
+                    n.append(len(s))
+                    if not len(s):
+                        digest.append(None)
+                        sig.append(None)
+                        continue
+                    digest.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    low = np.full(VALUES, np.uint64(2**64 - 1))
+                    for i in range(0, len(s), 512):  # bounded memory for very long texts
+                        low = np.minimum(low, (a * s[None, i:i + 512] + b).min(axis=1))
+                    sig.append((low >> np.uint64(32)).astype(np.uint16).astype(">u2").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                     pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         each, "doc_id long, n_shingles long, digest binary, sig binary")
 
@@ -165,14 +163,14 @@ def _neighbours(labels: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (u, v) whose full sets overlap enough; ``texts`` has (doc_id, text)."""
     def each(batches):
-        cache = WordHashes()
+        hashes = WordHashes()
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = shingle_set(x, k, cache), shingle_set(y, k, cache)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            for at in range(0, batch.num_rows, 128):
+                part, keep = batch.slice(at, 128), []
+                for a, b in zip(*(shingle_sets(part.column(i).to_pylist(), k, hashes) for i in (2, 3)), strict=True):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
     one = texts.select(F.col("doc_id").cast("long").alias("u"), F.col("text").alias("x"))
     two = texts.select(F.col("doc_id").cast("long").alias("v"), F.col("text").alias("y"))
     full = pairs.select("u", "v").join(one, "u").join(two, "v").select("u", "v", "x", "y")
@@ -195,18 +193,28 @@ def _with_labels(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         each, "tree int, node long, component long, degree long, label binary")
 
 
-def merged(part: DataFrame, links: DataFrame) -> DataFrame:
-    """``part`` (node, component) with further ``links`` (u, v): components of components, then one join."""
-    if links.isEmpty():
-        return part
-    ends = (links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(part, "node", "left")
-            .select("node", F.coalesce("component", "node").alias("component")).checkpoint())
-    edges = (links.join(ends.select(F.col("node").alias("u"), F.col("component").alias("a")), "u")
-             .join(ends.select(F.col("node").alias("v"), F.col("component").alias("b")), "v")
-             .select(F.col("a").alias("u"), F.col("b").alias("v")))
-    roots = components(edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
-    alone = ends.join(part, "node", "left_anti")
-    return part.unionByName(alone).join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")).checkpoint()
+def _members(nodes: DataFrame, part: DataFrame, degrees: DataFrame) -> DataFrame:
+    """(bucket, tree, node, component, degree): every node in its region of the first level in every tree."""
+    def each(batches):
+        _, _, orders = _orders()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u2").reshape(-1, VALUES)
+            for t, order in enumerate(orders):
+                rows = np.ascontiguousarray(sig[:, order[:LEVELS[0]]])
+                label = pa.Array.from_buffers(pa.binary(2 * LEVELS[0]), len(rows), [None, pa.py_buffer(rows)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), t, np.int32)), *batch.columns[:3], label.cast(pa.binary())],
+                                                 ["tree", "node", "component", "degree", "label"])
+    known = (nodes.select("node", "sig").join(part, "node", "left").join(degrees, "node", "left")
+             .select("node", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree"), "sig"))
+    return (known.mapInArrow(each, "tree int, node long, component long, degree long, label binary")
+            .select(_bucket(LEVELS[0]), "tree", "node", "component", "degree"))
+
+
+def _bucket(depth: int):
+    """The region of a label's first values."""
+    return F.xxhash64("tree", F.substring("label", 1, 2 * depth)).alias("bucket")
 
 
 class _Tried:
@@ -218,43 +226,42 @@ class _Tried:
     def degrees(self) -> DataFrame:
         return self.links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
 
-    def join(self, part: DataFrame, pairs: DataFrame, rows: DataFrame) -> DataFrame:
-        """``part`` after ``pairs`` of ``rows``' nodes were tried."""
+    def join(self, part: DataFrame, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+        """``part`` after ``pairs`` were tried, whose nodes and those of all later rounds are in ``rows`` if given."""
         pairs = pairs.distinct()
         if self.pairs is not None:
             pairs = pairs.join(self.pairs, ["u", "v"], "left_anti")
         pairs = stored(pairs, "candidates")
         if pairs.isEmpty():
             return part
-        if self.texts is None:  # later rounds know no other documents
-            ids = rows.select(F.col("node").alias("doc_id")).distinct()
-            self.texts = stored(self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+        texts = self.texts
+        if texts is None:
+            ids = (pairs.select(F.explode(F.array("u", "v")).alias("node")) if rows is None else rows).select(F.col("node").alias("doc_id")).distinct()
+            texts = stored(self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"), "texts")
+            self.texts = None if rows is None else texts
         self.pairs = pairs if self.pairs is None else self.pairs.union(pairs)
-        new = stored(confirmed(pairs, self.texts, self.k, self.percent), "links")
+        new = stored(confirmed(pairs, texts, self.k, self.percent), "links")
         if new.isEmpty():
             return part
         self.links = self.links.union(new)
-        return merged(part, new)
+        return joined(part, new)
 
 
 def _pair(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
-def linked_in_regions(labels: DataFrame, nodes: DataFrame, part: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def linked_in_regions(nodes: DataFrame, part: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``part`` (node, component) after the regions' members were tried as the module says.
 
     ``links`` are the pairs (u, v) confirmed so far.
     """
     tried = _Tried(docs, k, percent, links)
-    facts = part.join(tried.degrees(), "node", "left")
-    bucket = lambda depth: F.xxhash64("tree", F.substring("label", 1, 2 * depth)).alias("bucket")
-    # every node in every tree: no label travels with it
-    rows = (labels.select(bucket(LEVELS[0]), "tree", "node").join(facts, "node", "left")
-            .select("bucket", "tree", "node", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    part = _to_heads(_members(nodes, part, tried.degrees()), part, tried)
+    rows = _members(nodes, part, tried.degrees())
     pairs = first = None
     for level, depth in enumerate(LEVELS):
-        known = rows.select(bucket(depth), *rows.columns) if level else rows
+        known = rows.select(_bucket(depth), *rows.columns) if level else rows
         region = known.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
         mixed = stored(known.join(region.where("a < b").select("bucket", "n"), "bucket"), "mixed")
         if mixed.isEmpty():
@@ -277,6 +284,17 @@ def linked_in_regions(labels: DataFrame, nodes: DataFrame, part: DataFrame, link
     return part if mixed.isEmpty() else _to_the_end(large.select("bucket", "node"), part, tried)
 
 
+def _to_heads(rows: DataFrame, part: DataFrame, tried: _Tried) -> DataFrame:
+    """The best linked member of each component in a region (bucket, node, component, degree) meets the region's head."""
+    best = F.max(F.struct("degree", (-F.col("node")).alias("least"))).alias("x")
+    reps = rows.groupBy("bucket", "component").agg(best)
+    heads = (reps.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("x.degree", "x.least", "component")).alias("h")).where("n > 1")
+             .select("bucket", (-F.col("h.least")).alias("head"), F.col("h.component").alias("other")))
+    pairs = (reps.join(heads, "bucket").where(F.col("component") != F.col("other"))
+             .select("head", (-F.col("x.least")).alias("node")).select(*_pair("node", "head")))
+    return tried.join(part, pairs)
+
+
 def _to_the_end(rows: DataFrame, part: DataFrame, tried: _Tried) -> DataFrame:
     """Regions (bucket, node) until each holds one component: members meet ever more representatives, which then leave."""
     slots = 4
@@ -316,7 +334,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .join(part.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
             .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")))
     second = stored(confirmed(rest, docs, k, percent), "links")
-    whole = linked_in_regions(labels, nodes, merged(part, second), first.union(second), docs, k, percent)
+    whole = linked_in_regions(nodes, joined(part, second), first.union(second), docs, k, percent)
     named = (nodes.select("digest", "node").join(whole, "node", "left")
              .select("digest", F.coalesce("component", "node").alias("component_id")))
     of_empty = F.when(F.col("digest").isNull(), F.col("doc_id"))

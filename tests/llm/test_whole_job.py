@@ -81,3 +81,16 @@ def test_forest_compares_a_template_in_proportion(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows, 2)
         tried[n] = sum(seen) / n
     assert tried[800] < 1.6 * tried[200] and tried[800] < 400 / 2, tried
+
+
+def test_pairs_of_lines_on_one_template_are_linked(spark):
+    """150 pairs (J 0.96) of lines on one template (J 0.67 across pairs), beside a group of 40 copies of it."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+    rows = [(2 * p + i, " ".join([*base[:15], f"a{p}", *base[16:40], f"b{p}", *base[41:59], f"c{p}x{i}"])) for p in range(150) for i in range(2)]
+    rows += [(300 + i, " ".join([*base[:59], f"d{i}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = paragraph_dedup.paragraphs(docs, 5).where("bands IS NOT NULL").selectExpr("doc_id AS n", "doc_id", "pos", "bands")
+    links = paragraph_dedup.line_links(lines, docs, 5, 80)
+    got = {i: i for i, _ in rows} | {r.node: r.component for r in paragraph_dedup.components(links).collect()}
+    assert got == brute(rows, 5) and len(set(got.values())) == 151
