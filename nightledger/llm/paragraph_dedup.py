@@ -37,6 +37,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +61,12 @@ class Words:
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         blob = b"\n".join(raw)  # the end of a text ends its last line
         byte = np.frombuffer(blob, np.uint8)
-        self.hash, start, end = hashes.words(blob)
+        quick, start, end = hashes.words(blob)
+        # the places of cuts follow from xxh3 of the words: taken once for each distinct one
+        _, one, at = np.unique(quick, return_index=True, return_inverse=True)
+        low = blob.lower()
+        self.hash = np.fromiter((xxhash.xxh3_64_intdigest(low[a:b]) for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)),
+                                np.uint64, len(one))[at]
         first = np.cumsum([0, *(len(r) + 1 for r in raw[:-1])], dtype=np.int64) if raw else np.zeros(0, np.int64)
         self.text = np.searchsorted(first, start, "right") - 1
         self.line = np.concatenate([[0], np.cumsum(byte == 10, dtype=np.int32)])[start]
@@ -249,7 +255,7 @@ def line_links(lines: DataFrame, docs: DataFrame, bands: int, percent: int) -> D
     then leaves. What is left of a bucket with several components is compared
     whole if it is small. The lines of larger ones meet by their rarest
     shingles, where no similar pair is missed: under each shingle all meet 1,
-    16, 256, ... of those that index it, which then leave, until one component
+    4, 16, ... of those that index it, which then leave, until one component
     or no such line is left. Pairs that cannot be similar, by their sizes and
     by what follows the shingle in both, are not made.
     """
@@ -278,7 +284,7 @@ def line_links(lines: DataFrame, docs: DataFrame, bands: int, percent: int) -> D
         fits = (100 + percent) * F.least("rest", "head_rest") >= percent * (F.col("size") + F.col("head_size"))
         tried.add(rows.join(heads, "key").where((F.col("component") != F.col("other")) & fits).select(*_pair("n", "head")))
         rows = rows.drop("component").join(heads.select("key", F.col("head").alias("n")), ["key", "n"], "left_anti")
-        slots *= 16
+        slots *= 4
 
 
 def repeats(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
