@@ -94,3 +94,14 @@ def test_pairs_of_lines_on_one_template_are_linked(spark):
     links = paragraph_dedup.line_links(lines, docs, 5, 80)
     got = {i: i for i, _ in rows} | {r.node: r.component for r in paragraph_dedup.components(links).collect()}
     assert got == brute(rows, 5) and len(set(got.values())) == 151
+
+
+def test_forest_regions_end_at_their_heads(spark, monkeypatch):
+    """300 copies like one original, not like one another: few rows are left for the comparison of whole regions."""
+    rng, rows_of = random.Random(13), []
+    plain = lsh_forest.stored
+    monkeypatch.setattr(lsh_forest, "stored", lambda df, tag: (lambda got: (tag == "mixed" and rows_of.append(got.count()), got)[1])(plain(df, tag)))
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(i, " ".join(base) if i == 150 else changed(rng, base, 8, i)) for i in range(301)]
+    got = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2)
+    assert {r.component_id for r in got.collect()} == {0} and sum(rows_of) < 300, rows_of
