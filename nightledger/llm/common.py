@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +18,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Whether an action's shuffle files go when it ends; else they stay until the driver happens to collect its garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of an Arrow batch, and what is set where the session says nothing.
+BATCH_BYTES, SMALL_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Actions in here leave no shuffle files: for results that are written and read from there."""
+    was = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, was)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends there."""
     path = scratch(df.sparkSession, tag) + "/t"
-    df.write.parquet(path)
+    with released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` in Spark's checkpoint folder: lineage ends there."""
+    with released(df.sparkSession):
+        return df.checkpoint()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts are bounded in bytes, not only in rows, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, SMALL_BATCH)
+
+
 def ready(spark: SparkSession) -> None:
     """Python workers can import this package."""
     ship_package(spark)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import below, mixed, ready
+from nightledger.llm.common import below, mixed, ready, small_batches
 
 PER_LANG, SAMPLE_CHARS = 300, 20_000
 BITS, EPOCHS, LENGTH, BATCH, RATE = 17, 2, 64, 128, 0.2   # feature table, passes, sequence length, sequences a step
@@ -259,6 +259,7 @@ def _sent(docs: DataFrame, model: dict):
     The model has a fixed size: 2^BITS rows, a column for each language.
     """
     ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def tagger() -> Tagger:

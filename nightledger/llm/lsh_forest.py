@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import WordHashes, ready, shingle_sets, stored
+from nightledger.llm.common import WordHashes, checkpointed, ready, shingle_sets, small_batches, stored
 from nightledger.llm.components import components, joined
 
 VALUES, TREES, DEPTH = 128, 32, 12      # signature values, trees, values in a sorted label
@@ -320,6 +320,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     shingle sets; ``component_id`` is the least doc_id that links reach.
     """
     ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
     sets = stored(signatures(docs, k), "signatures")
     known = sets.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     nodes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "nodes")
@@ -328,7 +329,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # round 1: each node's best candidate, as the larger end
     best = (pairs.groupBy("u").agg(F.max_by("v", F.struct("depth", "n", -F.col("v"))).alias("v")))
     first = stored(confirmed(best, docs, k, percent), "links")
-    part = components(first).checkpoint()
+    part = checkpointed(components(first))
     rest = (pairs.select("u", "v").join(best, ["u", "v"], "left_anti")
             .join(part.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
             .join(part.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")

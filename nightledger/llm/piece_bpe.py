@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import ready
+from nightledger.llm.common import ready, small_batches
 
 SPACE = "▁"
 CHUNKS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -343,6 +343,7 @@ def codec(model_path: str) -> Codec:
 def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, ids array<int>, decoded) of every whole text."""
     ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def each(batches):
         from nightledger.llm.piece_bpe import codec  # the worker's own, kept between tasks
