@@ -2,7 +2,7 @@
 
 Each round is two grouped minima joined back to the edges, so a hub with very
 many links is combined map-side and its join can be split by adaptive
-execution. Every round is checkpointed; only two sums per round reach the driver.
+execution. Every round is checkpointed, its shuffle files go; only two sums per round reach the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.llm.common import checkpointed, released
+
 
 def _star(edges: DataFrame) -> DataFrame:
     """(u, v) with v among u's neighbours -> every u with the least of them and itself."""
@@ -36,13 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     ``component`` is the least node reachable. Loops and repeated links are
     ignored; no links give an empty result.
     """
-    e = (edges.where(F.col("u") != F.col("v"))
-         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-         .checkpoint())
+    e = checkpointed(edges.where(F.col("u") != F.col("v"))
+                     .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     while True:
-        e = _small(_large(e)).checkpoint()
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        e = checkpointed(_small(_large(e)))
+        with released(e.sparkSession):
+            now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
@@ -54,11 +56,12 @@ def joined(part: DataFrame, links: DataFrame) -> DataFrame:
     """``part`` (node, component) with further ``links`` (u, v): components of components, then one join."""
     if links.isEmpty():
         return part
-    ends = (links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(part, "node", "left")
-            .select("node", F.coalesce("component", "node").alias("component")).checkpoint())
+    ends = checkpointed(links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(part, "node", "left")
+                        .select("node", F.coalesce("component", "node").alias("component")))
     edges = (links.join(ends.select(F.col("node").alias("u"), F.col("component").alias("a")), "u")
              .join(ends.select(F.col("node").alias("v"), F.col("component").alias("b")), "v")
              .select(F.col("a").alias("u"), F.col("b").alias("v")))
     roots = components(edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
     alone = ends.join(part, "node", "left_anti")
-    return part.unionByName(alone).join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")).checkpoint()
+    return checkpointed(part.unionByName(alone).join(roots, "component", "left")
+                        .select("node", F.coalesce("root", "component").alias("component")))
