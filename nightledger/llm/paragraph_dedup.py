@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import WordHashes, mixed, ready, shingle_sets, stored, window_hashes
+from nightledger.llm.common import WordHashes, checkpointed, mixed, ready, shingle_sets, stored, window_hashes
 from nightledger.llm.components import components, joined
 
 SHINGLE, PERCENT, RECALL = 5, 80, 0.9995
@@ -232,7 +232,7 @@ class _Tried:
         ends = pairs.select(F.col("u").alias("n")).union(pairs.select("v")).distinct()
         self.texts = stored(line_texts(lines.join(ends, "n", "left_semi"), docs), "line-texts")  # later rounds know no other lines
         self.pairs = stored(similar(pairs, self.texts, percent), "tried")
-        self.part = components(self.links()).checkpoint()
+        self.part = checkpointed(components(self.links()))
 
     def links(self) -> DataFrame:
         return self.pairs.where("ok").select("u", "v")
@@ -302,7 +302,7 @@ def repeats(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL) ->
     # distinct lines: one row a key, in the document that keeps it
     lines = stored(whole.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "pos", "words", "bands")).alias("x"), F.count(F.lit(1)).alias("copies"))
                    .select(F.xxhash64("k1", "k2").alias("n"), "x.*", "k1", "k2", "copies"), "lines")
-    part = components(line_links(lines, docs, bands, percent)).checkpoint()
+    part = checkpointed(components(line_links(lines, docs, bands, percent)))
     # a line that occurs more than once is repeated whether or not another is near it
     member = (lines.join(part, lines.n == part.node, "left").where(F.col("node").isNotNull() | (F.col("copies") > 1))
               .select("k1", "k2", F.coalesce("component", "n").alias("component"), F.col("doc_id").alias("first")))
