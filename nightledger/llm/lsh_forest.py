@@ -25,7 +25,7 @@ the next values of the label. The pairs of all levels are tried together. So a l
 in large regions and (SMALL - 1) / 2 in small ones, whatever the regions'
 sizes, and never all pairs of a template. A region that still holds more than
 SMALL members of several components when the label ends agrees on LEVELS[-1]
-values of one order; there members meet 4, 16, ... representatives until one
+values of one order; there members meet 4, 64, ... representatives until one
 component or one member is left.
 
 Exact copies (equal sets) are one node from the start, found by a grouped
@@ -56,6 +56,7 @@ VALUES, TREES, DEPTH = 128, 32, 12      # signature values, trees, values in a s
 MIN_DEPTH = 5                           # least common prefix of candidates
 LEVELS = (MIN_DEPTH, 8, 11, 14, 17, 20, 24)   # values that the members of a region share, level by level
 SMALL = 8                               # members up to which a region is compared whole
+MEETS = f"n <= {SMALL} or component <> other"   # who meets others: small regions whole, else those outside the head's component
 
 
 def _orders():
@@ -259,29 +260,32 @@ def linked_in_regions(nodes: DataFrame, part: DataFrame, links: DataFrame, docs:
     tried = _Tried(docs, k, percent, links)
     part = _to_heads(_members(nodes, part, tried.degrees()), part, tried)
     rows = _members(nodes, part, tried.degrees())
-    pairs = first = None
-    for level, depth in enumerate(LEVELS):
-        known = rows.select(_bucket(depth), *rows.columns) if level else rows
-        region = known.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        mixed = stored(known.join(region.where("a < b").select("bucket", "n"), "bucket"), "mixed")
-        if mixed.isEmpty():
-            break
-        first = mixed if first is None else first
-        large = mixed.where(F.col("n") > SMALL)
-        heads = (large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"), "component")).alias("x"))
-                 .select("bucket", (-F.col("x.least")).alias("head"), F.col("x.component").alias("other")))
-        to_head = large.join(heads, "bucket").where(F.col("component") != F.col("other")).select(*_pair("node", "head"))
-        # at most SMALL members a row, pairs of different components
-        whole = mixed.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("node", "component"))).alias("m"))
-        both = (whole.select(F.posexplode("m").alias("i", "x"), "m")
-                .select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
-                .where(F.col("x.component") != F.col("y.component")).select(*_pair("x.node", "y.node")))
-        pairs = to_head.union(both) if pairs is None else pairs.union(to_head).union(both)
-        rows = large.drop("bucket", "n") if level else _with_labels(large, nodes)
-    if pairs is None:
+    first = stored(rows.join(_mixed(rows), "bucket"), "mixed")
+    if first.isEmpty():
         return part
-    part = tried.join(part, pairs, first)
-    return part if mixed.isEmpty() else _to_the_end(large.select("bucket", "node"), part, tried)
+    # deeper levels: regions are counted, and joined with the members that meet others only
+    rows = stored(_with_labels(first.where(F.col("n") > SMALL), nodes), "labels")
+    met = first
+    for depth in LEVELS[1:]:
+        known = rows.select(_bucket(depth), *rows.columns)
+        region = _mixed(known)
+        met = met.unionByName(known.join(region, "bucket").where(MEETS).select(*met.columns))
+    met = stored(met.where(MEETS).select("bucket", "node", "component", "n", "head"), "met")
+    to_head = met.where(F.col("n") > SMALL).select(*_pair("node", "head"))
+    # at most SMALL members a row, pairs of different components
+    whole = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("node", "component"))).alias("m"))
+    both = (whole.select(F.posexplode("m").alias("i", "x"), "m")
+            .select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+            .where(F.col("x.component") != F.col("y.component")).select(*_pair("x.node", "y.node")))
+    part = tried.join(part, to_head.union(both), first)
+    return _to_the_end(known.join(region.where(F.col("n") > SMALL), "bucket", "left_semi").select("bucket", "node"), part, tried)
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(bucket, n, head, other): regions of several components, their members, best linked one and its component."""
+    return (rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"),
+                                       F.max(F.struct("degree", (-F.col("node")).alias("least"), "component")).alias("x")).where("a < b")
+            .select("bucket", "n", (-F.col("x.least")).alias("head"), F.col("x.component").alias("other")))
 
 
 def _to_heads(rows: DataFrame, part: DataFrame, tried: _Tried) -> DataFrame:
@@ -310,7 +314,7 @@ def _to_the_end(rows: DataFrame, part: DataFrame, tried: _Tried) -> DataFrame:
         pairs = of.join(heads, "bucket").where(F.col("component") != F.col("other")).select(*_pair("node", "head"))
         part = tried.join(part, pairs, of)
         rows = of.select("bucket", "node").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
-        slots *= 4
+        slots *= 16
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
