@@ -58,6 +58,25 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, SMALL_BATCH)
 
 
+_HELD: dict = {}
+
+
+def held(key: str, make):
+    """What a worker process keeps between tasks: ``make()``, until another key is asked for.
+
+    Workers live through all stages of a pipeline, so the tables of one model go before those of the next are made.
+    """
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """For tasks that need no model: what an earlier stage has left in the worker process goes."""
+    _HELD.clear()
+
+
 def ready(spark: SparkSession) -> None:
     """Python workers can import this package."""
     ship_package(spark)

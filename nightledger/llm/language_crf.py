@@ -23,6 +23,7 @@ that sorts first. Repeated rows repeat; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import below, mixed, ready, small_batches
+from nightledger.llm.common import below, held, mixed, ready, small_batches
 
 PER_LANG, SAMPLE_CHARS = 300, 20_000
 BITS, EPOCHS, LENGTH, BATCH, RATE = 17, 2, 64, 128, 0.2   # feature table, passes, sequence length, sequences a step
@@ -222,9 +223,6 @@ def groups(sizes: list[int], cells: int):
         at += n
 
 
-_TAGGERS: dict = {}  # of the worker: the model it was sent and its tables
-
-
 def fit(docs: DataFrame, seed: int = 7) -> dict | None:
     """A model from rows (doc_id, text, lang) that may be learned from."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -260,13 +258,10 @@ def _sent(docs: DataFrame, model: dict):
     """
     ready(docs.sparkSession)
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, key = docs.sparkSession.sparkContext.broadcast(model), f"tagger {uuid.uuid4().hex}"
 
     def tagger() -> Tagger:
-        from nightledger.llm import language_crf as m  # the worker's module lives as long as the worker
-        if m._TAGGERS.get("model") is not sent.value:
-            m._TAGGERS.update(model=sent.value, tagger=Tagger(sent.value))
-        return m._TAGGERS["tagger"]
+        return held(key, lambda: Tagger(sent.value))
     return tagger
 
 

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import WordHashes, checkpointed, ready, shingle_sets, small_batches, stored
+from nightledger.llm.common import WordHashes, checkpointed, let_go, ready, shingle_sets, small_batches, stored
 from nightledger.llm.components import components, joined
 
 VALUES, TREES, DEPTH = 128, 32, 12      # signature values, trees, values in a sorted label
@@ -70,6 +70,7 @@ def _orders():
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, digest, sig): digest identifies the set, null if it is empty; sig has two bytes of each minimum."""
     def each(batches):
+        let_go()
         hashes, (a, b, _) = WordHashes(), _orders()
         a, b = a[:, None], b[:, None]
         for batch in batches:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import ready, small_batches
+from nightledger.llm.common import held, ready, small_batches
 
 SPACE = "▁"
 CHUNKS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -330,14 +330,9 @@ class Codec:
         return self._joined(ids).removeprefix(" ")
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(model_path: str) -> Codec:
-    """One per worker process and model."""
-    if model_path not in _CODECS:
-        _CODECS[model_path] = Codec(model_path)
-    return _CODECS[model_path]
+    """One per worker process and model, kept until the worker needs another."""
+    return held(f"codec {model_path}", lambda: Codec(model_path))
 
 
 def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:

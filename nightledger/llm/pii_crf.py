@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.common import bounded_sample, ready
+from nightledger.llm.common import bounded_sample, let_go, ready
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
@@ -244,6 +244,7 @@ def scan(docs: DataFrame, model: dict | None) -> DataFrame:
     ready(docs.sparkSession)
 
     def each(batches):
+        let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -285,6 +286,7 @@ def redact(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame
 
     @F.pandas_udf("string")
     def clean(s: pd.Series) -> pd.Series:
+        let_go()
         return pd.concat([redacted(s.iloc[i:i + 512], model) for i in range(0, len(s), 512)], ignore_index=True) if len(s) else s
     return docs.withColumn(text, clean(F.col(text)))
 

@@ -1,8 +1,11 @@
-"""Rounds of components and rows of the forest's levels."""
+"""Rounds of components, rows of the forest's levels, and what worker processes keep."""
 
 import random
 
-from nightledger.llm import components, lsh_forest
+from pyspark.sql import functions as F
+
+from nightledger.llm import common, components, language_crf, lsh_forest, pii_crf, piece_bpe
+from nightledger.llm.queries import tokenizer_path
 
 
 def counted(monkeypatch, module, name):
@@ -61,3 +64,22 @@ def test_deeper_levels_of_the_forest_join_those_that_meet_others_only(spark, mon
     assert all(got[i] == 0 for i in range(400))
     first, *deeper = [df.count() for tag, df in made if tag in ("mixed", "met")]
     assert first > 2000 and sum(deeper) < first
+
+
+def test_workers_keep_one_model(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, "unas palabras")], "doc_id long, text string").coalesce(1)
+    model = language_crf.train([("some words", "en"), ("unas palabras", "es")])
+
+    @F.udf("array<string>")
+    def kept(_):
+        return sorted(k.split()[0] for k in common._HELD)
+
+    def seen():
+        return {x for r in spark.range(0, 64, 1, 16).select(kept("id").alias("k")).collect() for x in r.k}
+    assert {r.lang_pred for r in language_crf.label(docs, model).collect()} == {"en", "es"} and "tagger" in seen()
+    c = piece_bpe.codec(tokenizer_path())
+    assert piece_bpe.codec(tokenizer_path()) is c and len(common._HELD) == 1
+    assert common.held("tagger", dict) == {} and list(common._HELD) == ["tagger"]
+    list(pii_crf.redact(docs, None).collect())
+    common.let_go()
+    assert not common._HELD
