@@ -49,7 +49,7 @@ def test_components_take_few_rounds(spark, monkeypatch):
 
 
 def test_deeper_levels_of_the_forest_join_those_that_meet_others_only(spark, monkeypatch):
-    """400 near copies that are linked, and 10 documents beside them that are not: their rows are not joined on each level."""
+    """400 near copies that are linked, and 40 documents beside them that are not: their rows are not joined on each level."""
     rng = random.Random(12)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
 
@@ -58,7 +58,7 @@ def test_deeper_levels_of_the_forest_join_those_that_meet_others_only(spark, mon
         for i in range(n):
             words[rng.randrange(200)] = f"x{rng.random()}"
         return " ".join(words)
-    rows = [(i, changed(2)) for i in range(400)] + [(1000 + i, changed(18)) for i in range(10)]
+    rows = [(i, changed(1)) for i in range(400)] + [(1000 + i, changed(15)) for i in range(40)]
     made = counted(monkeypatch, lsh_forest, "stored")
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
     assert all(got[i] == 0 for i in range(400))
